@@ -16,6 +16,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from stillhouse.functions.once import with_once
 from stillhouse.functions.text import strip
 
 # Places to look for JSON in an answer, in order.
@@ -107,19 +108,14 @@ def with_payload(df: DataFrame, response: str, out: str = "payload", outermost_f
     doc = F.coalesce(native, F.try_parse_json(found["text"]))
     doc = F.when(~F.is_variant_null(doc), doc)
     path = F.when(native.isNotNull(), F.lit("whole")).otherwise(found["path"])
-    return (
+    step = (
         df.withColumn(f"__{out}_native", strict_json(text))
         .withColumn(f"__{out}_found", _find_many(outermost_first)(F.when(worth_a_look, text)))
         .withColumn(f"__{out}_doc", doc)
-        .withColumn(
-            out,
-            F.struct(
-                F.col(f"__{out}_doc").alias("doc"),
-                F.when(F.col(f"__{out}_doc").isNotNull(), path).alias("path"),
-            ),
-        )
-        .drop(f"__{out}_native", f"__{out}_found", f"__{out}_doc")
     )
+    resolved = F.col(f"__{out}_doc")
+    both = F.struct(resolved.alias("doc"), F.when(resolved.isNotNull(), path).alias("path"))
+    return with_once(step, out, both).drop(f"__{out}_native", f"__{out}_found", f"__{out}_doc")
 
 
 @F.arrow_udf(T.StringType())
@@ -145,33 +141,24 @@ def field(doc: Column, name: str) -> Column:
     return F.try_variant_get(doc, f"$['{name}']", "variant")
 
 
+NUMBERS = ["BIGINT", "DECIMAL", "DOUBLE", "FLOAT"]
+
+
 def kind(value: Column) -> Column:
-    """object, array, string, number, boolean, null, or SQL null for a missing value."""
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(F.startswith(schema, F.lit("OBJECT")), "object")
-        .when(F.startswith(schema, F.lit("ARRAY")), "array")
-        .when(schema == "STRING", "string")
-        .when(schema == "BOOLEAN", "boolean")
-        .when(schema == "VOID", "null")
-        .when(schema.isNotNull(), "number")
-    )
+    """OBJECT, ARRAY, STRING, BOOLEAN, VOID, or one of NUMBERS; SQL null for a missing value."""
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
 
 
 def as_text(value: Column) -> Column:
     """String value of a variant that is a string, else null."""
-    return F.when(kind(value) == "string", F.try_variant_get(value, "$", "string"))
+    return F.when(kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
 def as_number(value: Column) -> Column:
     """Double of a variant that is a number or, as in Python, a boolean; else null."""
-    return F.when(kind(value).isin("number", "boolean"), F.try_variant_get(value, "$", "double"))
+    return F.when(kind(value).isin(*NUMBERS, "BOOLEAN"), F.try_variant_get(value, "$", "double"))
 
 
 def items(value: Column) -> Column:
     """array<variant> of a variant that is an array, else null."""
-    return F.when(kind(value) == "array", F.try_variant_get(value, "$", "array<variant>"))
-
-
-def non_blank(text: Column) -> Column:
-    return strip(text) != ""
+    return F.when(kind(value) == "ARRAY", F.try_variant_get(value, "$", "array<variant>"))

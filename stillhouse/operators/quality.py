@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stillhouse.functions.answers import single_label, sql_statement, whole_word_label
 from stillhouse.functions.degenerate import is_degenerate
-from stillhouse.functions.payload import as_number, as_text, field, items, json_text, kind, non_blank, python_spelling, with_payload
+from stillhouse.functions.once import let, with_once
+from stillhouse.functions.payload import (
+    NUMBERS, as_number, as_text, field, items, json_text, kind, python_spelling, with_payload,
+)
 from stillhouse.functions.text import collapse_space, strip
 from stillhouse.sources.specs import JSON, SINGLE_LABEL, TaskSpec, dispatch
 
@@ -24,71 +27,71 @@ def pii_entities(doc: Column, labels: Sequence[str]) -> Column:
     type are left out; order and duplicates stay.
     """
     known = [label.lower() for label in labels]
-    wrapped = field(doc, "entities")
-    listed = F.when((kind(doc) == "object") & (kind(wrapped) == "array"), items(wrapped)).otherwise(items(doc))
-    typed = F.transform(
-        listed,
-        lambda x: F.struct(
+
+    def typed(x: Column) -> Column:
+        return F.struct(
             strip(as_text(field(x, "entity"))).alias("entity"), F.lower(as_text(field(x, "type"))).alias("type")
-        ),
+        )
+
+    listed = let(
+        F.struct(doc.alias("doc"), field(doc, "entities").alias("wrapped")),
+        lambda m: F.coalesce(items(m["wrapped"]), items(m["doc"])),
     )
-    return F.filter(typed, lambda e: (e["entity"] != "") & e["type"].isin(known))
+    return F.filter(F.transform(listed, typed), lambda e: (e["entity"] != "") & e["type"].isin(known))
 
 
 def sentiment(doc: Column, labels: Sequence[str]) -> Column:
     """struct<sentiment, aspect, confidence, reasoning>; null if any field is unfit."""
-    label = F.lower(as_text(field(doc, "sentiment")))
-    aspect, reasoning = as_text(field(doc, "aspect")), as_text(field(doc, "reasoning"))
-    confidence = as_number(field(doc, "confidence"))
-    fit = (
-        label.isin([x.lower() for x in labels])
-        & non_blank(aspect)
-        & non_blank(reasoning)
-        & (confidence >= 0.0)
-        & (confidence <= 1.0)
-    )
-    return F.when(
-        fit,
-        F.struct(
-            label.alias("sentiment"),
-            collapse_space(F.lower(strip(aspect)), "_").alias("aspect"),
-            confidence.alias("confidence"),
-            strip(reasoning).alias("reasoning"),
-        ),
-    )
+    known = [x.lower() for x in labels]
+    members = F.struct(*[field(doc, k).alias(k) for k in ("sentiment", "aspect", "confidence", "reasoning")])
+
+    def typed(m: Column) -> Column:
+        return F.struct(
+            F.lower(as_text(m["sentiment"])).alias("sentiment"),
+            collapse_space(F.lower(strip(as_text(m["aspect"]))), "_").alias("aspect"),
+            as_number(m["confidence"]).alias("confidence"),
+            strip(as_text(m["reasoning"])).alias("reasoning"),
+        )
+
+    def checked(s: Column) -> Column:
+        fit = s["sentiment"].isin(known) & (s["aspect"] != "") & (s["reasoning"] != "")
+        return F.when(fit & (s["confidence"] >= 0.0) & (s["confidence"] <= 1.0), s)
+
+    return let(let(members, typed), checked)
 
 
 def receipt(doc: Column) -> Column:
     """struct<vendor, date, total, line_items>; null if a key is missing or has the wrong type."""
-    vendor, date, total, lines = (field(doc, k) for k in ("vendor", "date", "total", "line_items"))
-    number_or_null = ["number", "boolean", "null"]
-    fit = (
-        kind(vendor).isin("string", "null")
-        & kind(date).isin("string", "null")
-        & kind(total).isin(number_or_null)
-        & (kind(lines) == "array")
-    )
-    typed = F.transform(
-        items(lines),
-        lambda x: F.struct(
+    number_or_null = [*NUMBERS, "BOOLEAN", "VOID"]
+    members = F.struct(*[field(doc, k).alias(k) for k in ("vendor", "date", "total", "line_items")])
+
+    def item(x: Column) -> Column:
+        price = field(x, "price")
+        return F.struct(
             strip(as_text(field(x, "name"))).alias("name"),
-            as_number(field(x, "price")).alias("price"),
-            F.coalesce(kind(field(x, "price")), F.lit("null")).isin(number_or_null).alias("fit"),
-        ),
-    )
-    kept = F.transform(
-        F.filter(typed, lambda i: (i["name"] != "") & i["fit"]),
-        lambda i: F.struct(i["name"].alias("name"), i["price"].alias("price")),
-    )
-    return F.when(
-        fit,
-        F.struct(
-            strip(as_text(vendor)).alias("vendor"),
-            strip(as_text(date)).alias("date"),
-            as_number(total).alias("total"),
-            kept.alias("line_items"),
-        ),
-    )
+            as_number(price).alias("price"),
+            F.coalesce(kind(price), F.lit("VOID")).isin(number_or_null).alias("fit"),
+        )
+
+    def checked(m: Column) -> Column:
+        kept = F.filter(F.transform(items(m["line_items"]), item), lambda i: (i["name"] != "") & i["fit"])
+        fit = (
+            kind(m["vendor"]).isin("STRING", "VOID")
+            & kind(m["date"]).isin("STRING", "VOID")
+            & kind(m["total"]).isin(number_or_null)
+            & (kind(m["line_items"]) == "ARRAY")
+        )
+        return F.when(
+            fit,
+            F.struct(
+                strip(as_text(m["vendor"])).alias("vendor"),
+                strip(as_text(m["date"])).alias("date"),
+                as_number(m["total"]).alias("total"),
+                F.transform(kept, lambda i: F.struct(i["name"].alias("name"), i["price"].alias("price"))).alias("line_items"),
+            ),
+        )
+
+    return let(members, checked)
 
 
 def _as_json(value: Column) -> Column:
@@ -134,7 +137,7 @@ def judge(records: DataFrame, specs: Sequence[TaskSpec], output: str = "output",
     generic_tasks = [n for n in json_tasks if n not in (PII, SENTIMENT, RECEIPT)]
     text = F.col(output)
 
-    step = records.withColumn("__bad", is_degenerate(text))
+    step = with_once(records, "__bad", is_degenerate(text))
     usable = F.when(~F.col("__bad"), text)
     doc, generic = F.lit(None).cast("variant"), F.lit(None).cast("string")
     if json_tasks:
@@ -146,7 +149,7 @@ def judge(records: DataFrame, specs: Sequence[TaskSpec], output: str = "output",
         generic = F.when(doc.isNotNull(), F.col("__generic"))
 
     clean = dispatch(specs, F.col(task), lambda s: _clean(s, usable, doc, generic, strict))
-    step = step.withColumn("clean_output", clean)
+    step = with_once(step, "clean_output", clean)
     if python_text and json_tasks:
         respelled = python_spelling(F.when(F.col(task).isin(json_tasks), F.col("clean_output")))
         step = step.withColumn("__respelled", respelled).withColumn(

@@ -25,19 +25,21 @@ def redact(text: Column, only: list[str] | None = None) -> Column:
     return out
 
 
+def _typed(hits: Column, kind: str) -> Column:
+    known = F.coalesce(hits, F.array().cast("array<string>"))
+    return F.transform(known, lambda e: F.struct(e.alias("entity"), F.lit(kind).alias("type")))
+
+
 def spans(text: Column) -> Column:
-    """array<struct<entity, type>>: each distinct span once, grouped by type, in text order."""
+    """array<struct<entity, type>>: each distinct span once, grouped by type, in text order.
+
+    Spans of one type are taken out before the next type is looked for.
+    """
     found, rest = [], text
     for kind, pattern in PATTERNS.items():
-        hits = F.when(rest.rlike(NEEDS[kind]), F.array_distinct(F.regexp_extract_all(rest, F.lit(pattern), F.lit(0))))
-        found.append(
-            F.transform(
-                F.coalesce(hits, F.array().cast("array<string>")),
-                lambda e, kind=kind: F.struct(e.alias("entity"), F.lit(kind).alias("type")),
-            )
-        )
-        if kind != "phone":
-            rest = redact(rest, [kind])
+        hits = F.array_distinct(F.regexp_extract_all(rest, F.lit(pattern), F.lit(0)))
+        found.append(_typed(F.when(rest.rlike(NEEDS[kind]), hits), kind))
+        rest = redact(rest, [kind])
     return F.concat(*found)
 
 

@@ -1,6 +1,6 @@
 """Importing this package registers all queries."""
 
-from stillhouse.plans import answers  # noqa: F401
+from stillhouse.plans import answers, datasets, scores  # noqa: F401
 from stillhouse.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

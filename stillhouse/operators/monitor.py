@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stillhouse.operators.cost import Price, request_cost
+from stillhouse.operators.lookup import lookup
 
 
 def label_windows(log: DataFrame, width: str, slide: str | None = None, label: str = "label", ts: str = "ts") -> DataFrame:
@@ -63,7 +64,7 @@ def retrain_windows(log: DataFrame, width: str, threshold: float, groups: Sequen
 def failure_cases(log: DataFrame, windows: DataFrame, width: str, groups: Sequence[str] = ("model",), ts: str = "ts") -> DataFrame:
     """The wrong answers inside the given windows, as material for retraining."""
     wrong = log.filter(F.col("label") != F.col("expected")).withColumn("window_start", F.window(ts, width)["start"])
-    return wrong.join(windows.select("window_start", *groups), ["window_start", *groups], "left_semi")
+    return lookup(wrong, windows.select("window_start", *groups), ["window_start", *groups], "left_semi")
 
 
 def usage(log: DataFrame, prices: Sequence[Price], projected: Column, groups: Sequence[str] = ("model",),

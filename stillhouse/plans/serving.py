@@ -11,13 +11,13 @@ from stillhouse.operators.monitor import (
 )
 from stillhouse.operators.splitting import head
 from stillhouse.plans.derived import SERVING_LOG, serving_log
-from stillhouse.plans.registry import registered
+from stillhouse.plans.registry import SCHEMAS, registered
 from stillhouse.sources.workspace import new_folder
 from stillhouse.streaming.drift import append_to, latest, read_log, shadow_pairs, upsert_to, windowed_labels
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 SQL_STAMP = "%Y-%m-%d %H:%M:%S"
-LOG_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+LOG_SCHEMA = SCHEMAS["events"]
 
 
 def _stamp(c):

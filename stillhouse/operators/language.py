@@ -4,8 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Parts of a text that say nothing about its language.
-NOISE = r"(?:https?://|www\.)\S+|\S+@\S+\.\S+|[@#]\w+|(?:[A-Za-z]:)?(?:[/\\][\w.-]+){2,}|[0-9]+"
+from stillhouse.functions.once import let, with_once
+
+# Parts of a text that say nothing about its language, each with a cheap test for it: links, mail
+# addresses, handles and tags, file paths. Digits break words anyway.
+NOISE = [
+    (r"://|www\.", r"(?:https?://|www\.)\S+"),
+    (r"@", r"\S+@\S+\.\S+"),
+    (r"[@#]", r"[@#]\w+"),
+    (r"[/\\]", r"(?:[A-Za-z]:)?(?:[/\\][\w.-]+){2,}"),
+]
 # Letters per script.
 SCRIPTS = {
     "hi": r"[\u0900-\u097f]",
@@ -41,8 +49,16 @@ WORD_BREAK = r"[^a-z\u00df-\u00f6\u00f8-\u024f\u1e00-\u1eff]+"
 
 
 def clean(text: Column) -> Column:
-    """Lower-case text without links, addresses, handles, paths and digits."""
-    return F.lower(F.regexp_replace(text, NOISE, " "))
+    """Lower-case text without links, addresses, handles, tags and paths."""
+    def without(rest: Column, noise: list[tuple[str, str]]) -> Column:
+        if not noise:
+            return rest
+        (test, pattern), *others = noise
+        step = let(rest, lambda r: F.when(r.rlike(test), F.regexp_replace(r, pattern, " ")).otherwise(r))
+        return without(step, others)
+
+    plain = without(text, NOISE)
+    return F.lower(F.when(text.rlike(r"[@#/\\]|www\."), plain).otherwise(text))
 
 
 def _letters(text: Column, pattern: str) -> Column:
@@ -58,26 +74,37 @@ def _top(scores: dict[str, Column]) -> tuple[Column, Column]:
 
 def _latin(text: Column) -> Column:
     """struct of word count and, per language, its signals: function words plus its own letters."""
-    words = F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
-    ascii_only = ~text.rlike(r"[^\x00-\x7f]")
+    def counted(m: Column) -> Column:
+        def signals(lang: str) -> Column:
+            known = F.size(F.filter(m["words"], lambda w: w.isin(WORDS[lang].split())))
+            if lang not in LETTERS:
+                return known
+            return known + F.when(m["ascii"], 0).otherwise(_letters(m["text"], LETTERS[lang]))
+
+        return F.struct(F.size(m["words"]).alias("n"), *[signals(lang).alias(lang) for lang in LATIN_ORDER])
+
+    parts = F.struct(
+        text.alias("text"),
+        F.filter(F.split(text, WORD_BREAK), lambda w: w != "").alias("words"),
+        (~text.rlike(r"[^\x00-\x7f]")).alias("ascii"),
+    )
+    return let(parts, counted)
 
-    def signals(lang: str) -> Column:
-        known = F.size(F.filter(words, lambda w: w.isin(WORDS[lang].split())))
-        if lang not in LETTERS:
-            return known
-        return known + F.when(ascii_only, 0).otherwise(_letters(text, LETTERS[lang]))
 
-    return F.struct(F.size(words).alias("n"), *[signals(lang).alias(lang) for lang in LATIN_ORDER])
+def script(text: Column) -> Column:
+    """latin, hi, el, ru, zh or arabic by majority of letters; 'ot' for none or a tie.
 
+    Letters are only counted in texts that hold more than the Latin script.
+    """
+    counts = {"latin": _letters(text, LATIN), **{name: _letters(text, p) for name, p in SCRIPTS.items()}}
+    listed = F.array(*[F.struct(n.alias("n"), F.lit(name).alias("name")) for name, n in counts.items()])
 
-def script(text: Column) -> Column:
-    """latin, hi, el, ru, zh or arabic by majority of letters; 'ot' for none or a tie."""
-    latin = _letters(text, LATIN)
-    counts = {name: _letters(text, pattern) for name, pattern in SCRIPTS.items()}
-    best, name = _top({"latin": latin, **counts})
-    mixed = F.when(best == 0, "ot").otherwise(name)
-    only_latin = F.when(latin == 0, "ot").otherwise("latin")
-    return F.when(text.rlike(ANY_OTHER_SCRIPT), mixed).otherwise(only_latin)
+    def majority(found: Column) -> Column:
+        best = F.filter(found, lambda f: f["n"] == F.array_max(F.transform(found, lambda g: g["n"])))
+        return F.when(F.size(best) == 1, F.get(best, F.lit(0))["name"]).otherwise("ot")
+
+    only_latin = F.when(text.rlike(LATIN), "latin").otherwise("ot")
+    return F.when(text.rlike(ANY_OTHER_SCRIPT), let(listed, majority)).otherwise(only_latin)
 
 
 def with_language(df: DataFrame, text: str, out: str = "response") -> DataFrame:
@@ -100,10 +127,7 @@ def with_language(df: DataFrame, text: str, out: str = "response") -> DataFrame:
         .when((signals["en"] == 1) & (others < MIN_SIGNALS), "en")
         .otherwise("ot")
     )
-    return (
-        df.withColumn("__clean", clean(F.col(text)))
-        .withColumn("__script", script(F.col("__clean")))
-        .withColumn("__latin", F.when(F.col("__script") == "latin", _latin(F.col("__clean"))))
-        .withColumn(out, F.coalesce(by_script, latin))
-        .drop("__clean", "__script", "__latin")
-    )
+    step = with_once(df, "__clean", clean(F.col(text)))
+    step = with_once(step, "__script", script(F.col("__clean")))
+    step = with_once(step, "__latin", F.when(F.col("__script") == "latin", _latin(F.col("__clean"))))
+    return step.withColumn(out, F.coalesce(by_script, latin)).drop("__clean", "__script", "__latin")

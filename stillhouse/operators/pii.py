@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stillhouse.functions.once import let
+
 # Patterns use no look-around, so the same text works in other regex engines. Order matters for
 # redaction: longer forms go first. person and address have no fixed form and need a model.
 PATTERNS = {
@@ -14,20 +16,31 @@ PATTERNS = {
 }
 # A text without these cannot match, and the test is much cheaper than the pattern.
 NEEDS = {"email": r"@", "credit_card": r"\d{4}[ -]?\d{4}|\d{4}[ -]\d{6}", "ssn": r"\d{3}[- ]\d{2}[- ]", "phone": r"\d{3}[-. ]\d{4}"}
+ANY = "|".join(NEEDS.values())
+
+
+def _without(text: Column, kind: str) -> Column:
+    return F.when(text.rlike(NEEDS[kind]), F.regexp_replace(text, PATTERNS[kind], f"[{kind.upper()}]")).otherwise(text)
 
 
 def redact(text: Column, only: list[str] | None = None) -> Column:
     """The text with every span replaced by its type in brackets."""
     out = text
-    for kind, pattern in PATTERNS.items():
+    for kind in PATTERNS:
         if only is None or kind in only:
-            out = F.when(out.rlike(NEEDS[kind]), F.regexp_replace(out, pattern, f"[{kind.upper()}]")).otherwise(out)
+            out = let(out, lambda t: _without(t, kind))
     return out
 
 
-def _typed(hits: Column, kind: str) -> Column:
-    known = F.coalesce(hits, F.array().cast("array<string>"))
-    return F.transform(known, lambda e: F.struct(e.alias("entity"), F.lit(kind).alias("type")))
+def _spans(text: Column, kinds: list[str]) -> Column:
+    kind, *others = kinds
+    hits = F.when(
+        text.rlike(NEEDS[kind]), F.array_distinct(F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)))
+    )
+    typed = F.transform(
+        F.coalesce(hits, F.array().cast("array<string>")), lambda e: F.struct(e.alias("entity"), F.lit(kind).alias("type"))
+    )
+    return F.concat(typed, let(_without(text, kind), lambda rest: _spans(rest, others))) if others else typed
 
 
 def spans(text: Column) -> Column:
@@ -35,12 +48,7 @@ def spans(text: Column) -> Column:
 
     Spans of one type are taken out before the next type is looked for.
     """
-    found, rest = [], text
-    for kind, pattern in PATTERNS.items():
-        hits = F.array_distinct(F.regexp_extract_all(rest, F.lit(pattern), F.lit(0)))
-        found.append(_typed(F.when(rest.rlike(NEEDS[kind]), hits), kind))
-        rest = redact(rest, [kind])
-    return F.concat(*found)
+    return F.when(text.rlike(ANY), _spans(text, list(PATTERNS)))
 
 
 def detect(df: DataFrame, record: str, text: str) -> DataFrame:

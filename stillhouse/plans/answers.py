@@ -110,7 +110,7 @@ def isolated_sql(t):
 WITH texts AS (SELECT doc_id AS id, text FROM documents), {DEGENERATE_SQL}
 SELECT id AS doc_id, bad AS degenerate FROM degenerate""")
 def degenerate_documents(t):
-    return t.documents.select("doc_id", is_degenerate(F.col("text")).alias("degenerate"))
+    return t.spread("documents").select("doc_id", is_degenerate(F.col("text")).alias("degenerate"))
 
 
 @registered("kept_conversation_turns", f"""

@@ -177,7 +177,7 @@ WITH texts AS (SELECT doc_id AS id, text FROM documents), hits AS ({_spans_sql()
 firsts AS (SELECT id, kind_no, type, entity, min(place) AS place FROM hits GROUP BY id, kind_no, type, entity)
 SELECT id AS doc_id, row_number() OVER (PARTITION BY id ORDER BY kind_no, place) - 1 AS position, entity, type FROM firsts""")
 def pii_spans(t):
-    return detect(t.documents, "doc_id", "text")
+    return detect(t.spread("documents"), "doc_id", "text")
 
 
 @registered("pii_spans_of_answers", f"""
@@ -197,7 +197,7 @@ def pii_spans_of_answers(t):
 
 @registered("redacted_documents", f"SELECT doc_id, md5({_redacted_sql('text', _SQL_NAMES)}) AS redacted FROM documents")
 def redacted_documents(t):
-    return t.documents.select("doc_id", F.md5(redact(F.col("text"))).alias("redacted"))
+    return t.spread("documents").select("doc_id", F.md5(redact(F.col("text"))).alias("redacted"))
 
 
 def _language_sql() -> str:
@@ -209,7 +209,10 @@ def _language_sql() -> str:
         "hi": "[\\x{900}-\\x{97f}]", "el": "[\\x{370}-\\x{3ff}\\x{1f00}-\\x{1fff}]", "ru": "[\\x{400}-\\x{4ff}]",
         "zh": "[\\x{3400}-\\x{4dbf}\\x{4e00}-\\x{9fff}]", "arabic": "[\\x{600}-\\x{6ff}\\x{750}-\\x{77f}]",
     }
-    noise = "(?:https?://|www\\.)\\S+|\\S+@\\S+\\.\\S+|[@#]\\w+|(?:[A-Za-z]:)?(?:[/\\\\][\\w.-]+){2,}|[0-9]+"
+    noise = ["(?:https?://|www\\.)\\S+", "\\S+@\\S+\\.\\S+", "[@#]\\w+", "(?:[A-Za-z]:)?(?:[/\\\\][\\w.-]+){2,}"]
+    plain = "text"
+    for pattern in noise:
+        plain = f"regexp_replace({plain}, '{pattern}', ' ', 'g')"
     breaks = "[^a-z\\x{df}-\\x{f6}\\x{f8}-\\x{24f}\\x{1e00}-\\x{1eff}]+"
     signals = []
     for lang in LATIN_ORDER:
@@ -219,7 +222,7 @@ def _language_sql() -> str:
     rows = " UNION ALL ".join(f"SELECT id, '{n}' AS name, {count(p)} AS n FROM cleaned" for n, p in scripts.items())
     votes = " UNION ALL ".join(f"SELECT id, '{x}' AS name, {x} AS n FROM signals" for x in LATIN_ORDER)
     return f"""
-cleaned AS (SELECT doc_id AS id, lower(regexp_replace(text, '{noise}', ' ', 'g')) AS c FROM documents),
+cleaned AS (SELECT doc_id AS id, lower({plain}) AS c FROM documents),
 scripts AS ({rows}),
 top_script AS (SELECT id, CASE WHEN max(n) = 0 OR count(*) > 1 THEN 'ot' ELSE min(name) END AS script
   FROM (SELECT *, max(n) OVER (PARTITION BY id) AS best FROM scripts) WHERE n = best GROUP BY id),
@@ -241,7 +244,7 @@ LANGUAGE_LABELS = _language_sql()
 
 @registered("language_labels", f"WITH {LANGUAGE_LABELS} SELECT id AS doc_id, response AS language FROM language")
 def language_labels(t):
-    return with_language(t.documents.select("doc_id", "text"), "text", "language").select("doc_id", "language")
+    return with_language(t.spread("documents").select("doc_id", "text"), "text", "language").select("doc_id", "language")
 
 
 def _keyword_sql() -> str:
@@ -272,7 +275,7 @@ def keyword_labels(t):
 @registered("student_accuracy")
 def student_accuracy(t):
     """Fit on the train split, score the test split, against always answering the commonest label."""
-    split = split_exactly(t.documents.select("doc_id", "text", "lang"), "doc_id", size=0.2)
+    split = split_exactly(t.spread("documents").select("doc_id", "text", "lang"), "doc_id", size=0.2)
     model = fit_student(split.filter("split = 'train'"), "text", "lang")
     test = answer(model, split.filter("split = 'test'"))
     right = (F.col("response") == F.col("lang")).cast("double")

@@ -145,7 +145,7 @@ WITH {LANGUAGE_LABELS}
 SELECT d.lang, avg((l.response = d.lang)::INT::DOUBLE) AS accuracy, count(*) AS n_examples
 FROM documents d JOIN language l ON l.id = d.doc_id GROUP BY d.lang""")
 def language_accuracy(t):
-    answers = with_language(t.documents.select("doc_id", "text", "lang"), "text", "response")
+    answers = with_language(t.spread("documents").select("doc_id", "text", "lang"), "text", "response")
     rows = answers.select(F.lit("language").alias("task"), "lang", "response", F.col("lang").alias("gold"))
     return accuracy(score(rows, [LANGUAGE]), ["lang"])
 

@@ -269,7 +269,7 @@ def keyword_labels(t):
         F.lit("Our "), "event_type", F.lit(" shows an ERROR; the invoice "), "props", F.lit(" for login "),
         F.col("user_id").cast("string"), ending,
     )
-    return with_keyword_label(t.events.select("event_id", text.alias("text")), "text", ROUTING, "label").select("event_id", "label", "label_score")
+    return with_keyword_label(t.spread("events").select("event_id", text.alias("text")), "text", ROUTING, "label").select("event_id", "label", "label_score")
 
 
 @registered("student_accuracy")

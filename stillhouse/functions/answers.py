@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from stillhouse.functions.once import let
 from stillhouse.functions.text import collapse_space, dotall, extract, is_blank, rstrip_chars, strip
 
 # The answer patterns whose results must be reproduced.
@@ -31,12 +32,14 @@ def single_label(response: Column, labels: list[str], regex: str | None = None)
     known = list(dict.fromkeys(label.lower() for label in labels))
     if not known:
         return F.lit(None).cast("string")
-    low = F.lower(response)
-    anywhere = F.coalesce(*[F.when(F.contains(low, F.lit(label)), F.lit(label)) for label in known])
+    anywhere = let(
+        F.lower(response),
+        lambda low: F.coalesce(*[F.when(F.contains(low, F.lit(label)), F.lit(label)) for label in known]),
+    )
     if not regex:
         return anywhere
     named = F.lower(strip(F.regexp_extract(response, regex, 1)))
-    return F.when(named.isin(known), named).otherwise(anywhere)
+    return let(named, lambda n: F.when(n.isin(known), n).otherwise(anywhere))
 
 
 def whole_word_label(response: Column, labels: list[str], regex: str | None = None) -> Column:
@@ -79,11 +82,14 @@ def sql_text(response: Column, strict: bool = False) -> Column:
     The default keyword list has no WITH, so a CTE loses its head; ``strict`` keeps it.
     """
     pattern = SQL_STATEMENT_OR_CTE if strict else SQL_STATEMENT
-    whole = F.regexp_extract(response, pattern, 0)
-    found = F.when(F.startswith(whole, F.lit("```")), F.regexp_extract(response, pattern, 1)).otherwise(whole)
     fenced = F.when(response.rlike(SQL_FENCE), strip(F.regexp_extract(response, SQL_FENCE, 1)))
     plain = F.when(~is_blank(response), strip(response))
-    return F.when(whole != "", strip(found)).otherwise(F.coalesce(fenced, plain))
+
+    def chosen(whole: Column) -> Column:
+        inside = F.when(F.startswith(whole, F.lit("```")), F.regexp_extract(response, pattern, 1)).otherwise(whole)
+        return F.when(whole != "", strip(inside)).otherwise(F.coalesce(fenced, plain))
+
+    return let(F.regexp_extract(response, pattern, 0), chosen)
 
 
 def sql_statement(response: Column, strict: bool = False) -> Column:
@@ -91,16 +97,21 @@ def sql_statement(response: Column, strict: bool = False) -> Column:
 
     By default an answer without any SQL is kept as text; ``strict`` rejects it.
     """
-    parsed = sql_text(response, strict)
-    if strict:
-        text = strip(extract(parsed, SQL_STRICT_START, 0))
-    else:
+    def isolated(parsed: Column) -> Column:
+        if strict:
+            return strip(extract(parsed, SQL_STRICT_START, 0))
         text = F.when(parsed != "", parsed).otherwise(strip(extract(response, SQL_FROM_KEYWORD, 0)))
-        text = strip(F.regexp_replace(text, SQL_LEADING_PROSE, "$1"))
-    return F.when(F.endswith(text, F.lit(";")), text).otherwise(F.concat(text, F.lit(";")))
+        return strip(F.regexp_replace(text, SQL_LEADING_PROSE, "$1"))
+
+    def terminated(text: Column) -> Column:
+        return F.when(F.endswith(text, F.lit(";")), text).otherwise(F.concat(text, F.lit(";")))
+
+    return let(let(sql_text(response, strict), isolated), terminated)
 
 
 def comparable_sql(response: Column) -> Column:
     """SQL text for comparing: no trailing ``;``, single blanks, lower case; null if empty."""
-    parsed = sql_text(response)
-    return F.when(parsed != "", F.lower(collapse_space(rstrip_chars(strip(parsed), ";"))))
+    return let(
+        sql_text(response),
+        lambda parsed: F.when(parsed != "", F.lower(collapse_space(rstrip_chars(strip(parsed), ";")))),
+    )

@@ -35,5 +35,6 @@ def is_degenerate(text: Column, min_repeats: int = MIN_REPEATS) -> Column:
         )
         return (norm == "") | answers | run | few
 
-    many_lines = text.rlike(rf"^(?:[^{LINE_BREAK[1:-1]}]*+{LINE_BREAK}){{{breaks}}}")
+    no_break = f"[^{LINE_BREAK[1:-1]}]"
+    many_lines = text.rlike(rf"{LINE_BREAK}(?:{no_break}*+{LINE_BREAK}){{{breaks - 1}}}") if breaks > 1 else F.lit(True)
     return F.when(text.isNull(), True).when(many_lines, let(normalised_lines(text), loops)).otherwise(strip(text) == "")

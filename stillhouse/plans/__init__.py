@@ -1,6 +1,6 @@
 """Importing this package registers all queries."""
 
-from stillhouse.plans import answers, costs, datasets, questions, scores, serving  # noqa: F401
+from stillhouse.plans import answers, costs, datasets, questions, scores, serving, tasks  # noqa: F401
 from stillhouse.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -337,3 +337,32 @@ def test_keyword_labels(spark):
     rows = spark.createDataFrame([(0, "Invoice shows an error"), (1, "Login and profile settings; API"), (2, "hello"), (3, "errors")], "i int, t string")
     got = [(r.response, r.response_score) for r in with_keyword_label(rows, "t", ROUTING).orderBy("i").collect()]
     assert got == [("billing", 2), ("account", 3), (None, 0), (None, 0)]
+
+
+def test_token_counters(spark):
+    from stillhouse.functions.tokens import encoder_tokens, estimated_tokens
+
+    rows = spark.createDataFrame([("one two three",), (None,)], "t string")
+    words = encoder_tokens(lambda: lambda text: text.split())
+    assert [tuple(r) for r in rows.select(words(F.col("t")), estimated_tokens(F.col("t"))).collect()] == [(3, 4), (None, None)]
+    counted = cost.token_counts(rows.filter("t IS NOT NULL"), "t", F.concat(F.lit("a prompt "), "t"), words)
+    assert tuple(counted.select("teacher_in", "student_in").first()) == (5, 13)
+
+
+def test_training_manifest_and_sufficiency(spark):
+    rows = spark.range(300).select(F.lit("t").alias("task"), (F.col("id") % 100).alias("n"))
+    r = cost.training_manifest(rows, F.col("n"), batch_size=128, epochs=4, max_length=89).first()
+    assert (r.records, r.too_long, r.steps) == (270, 30, 12)
+    verdicts = splitting.sufficiency(rows, F.lit("single_label")).first()
+    assert (verdicts.examples, verdicts.verdict) == (300, "enough")
+
+
+def test_student_beats_the_majority(spark):
+    from stillhouse.operators.student import answer, fit_student
+
+    rows = spark.range(120).select(
+        F.when(F.col("id") % 3 == 0, "de").otherwise("en").alias("lang"),
+        F.when(F.col("id") % 3 == 0, "das haus ist gross").otherwise("the house is big").alias("text"),
+    )
+    got = answer(fit_student(rows, "text", "lang", features=256), rows)
+    assert got.filter("response <> lang").count() == 0

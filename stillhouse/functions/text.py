@@ -14,12 +14,14 @@ PY_SPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The same set as a pattern. Unicode properties are one lookup per character in Java, where a list
+# of ranges is tried one by one.
+SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]"
 # Characters at which Python's str.splitlines() breaks (all of them are spaces too).
-LINE_BREAK = r"[\n-\r\x1c-\x1e\x85\u2028\u2029]"
+LINE_BREAK = r"[\n-\r\x1c-\x1e\x85\u2028-\u2029]"
 # Spaces that do not break a line, with and without the plain blank.
-INLINE_SPACE = r"[\t\x1f\x20\xa0\u1680\u2000-\u200a\u202f\u205f\u3000]"
-ODD_INLINE_SPACE = r"[\t\x1f\xa0\u1680\u2000-\u200a\u202f\u205f\u3000]"
+INLINE_SPACE = r"[\p{Zs}\t\x1f]"
+ODD_INLINE_SPACE = r"[\p{Zs}\t\x1f&&[^ ]]"
 
 
 def strip(c: Column) -> Column:

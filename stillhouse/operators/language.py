@@ -45,7 +45,7 @@ WORDS = {
 LATIN_ORDER = ["vi", "tr", "de", "es", "fr", "en"]
 MIN_SIGNALS = 2
 SHORT_WORDS = 2
-WORD_BREAK = r"[^a-z\u00df-\u00f6\u00f8-\u024f\u1e00-\u1eff]+"
+WORD_BREAK = r"\P{L}+"
 
 
 def clean(text: Column) -> Column:

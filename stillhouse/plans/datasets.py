@@ -213,7 +213,7 @@ def _language_sql() -> str:
     plain = "text"
     for pattern in noise:
         plain = f"regexp_replace({plain}, '{pattern}', ' ', 'g')"
-    breaks = "[^a-z\\x{df}-\\x{f6}\\x{f8}-\\x{24f}\\x{1e00}-\\x{1eff}]+"
+    breaks = "\\P{L}+"
     signals = []
     for lang in LATIN_ORDER:
         words = ", ".join(f"'{w}'" for w in WORDS[lang].split())

@@ -30,3 +30,22 @@ def test_worked_cases_and_random_texts(spark):
     rows = spark.createDataFrame(list(enumerate(cases)), "i int, t string")
     got = [r[0] for r in rows.orderBy("i").select(is_degenerate(F.col("t"))).collect()]
     assert got == [expected(t) for t in cases]
+
+
+def test_space_classes_are_pythons(spark):
+    import sys
+
+    from stillhouse.functions import text
+
+    chars = [chr(i) for i in range(1, sys.maxunicode + 1) if not 0xD800 <= i <= 0xDFFF]
+    assert [c for c in chars if c.isspace()] == sorted(text.PY_SPACE)
+    rows = spark.createDataFrame([(c,) for c in chars[:0x3100]], "c string")
+    got = rows.select(
+        "c", F.col("c").rlike(text.SPACE).alias("space"), F.col("c").rlike(text.LINE_BREAK).alias("line"),
+        F.col("c").rlike(text.INLINE_SPACE).alias("inline"), F.col("c").rlike(text.ODD_INLINE_SPACE).alias("odd"),
+    ).collect()
+    for r in got:
+        breaks = len(f"a{r.c}b".splitlines()) > 1
+        assert (r.space, r.line, r.inline, r.odd) == (
+            r.c.isspace(), breaks, r.c.isspace() and not breaks, r.c.isspace() and not breaks and r.c != " "
+        ), hex(ord(r.c))

@@ -17,7 +17,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stillhouse.functions.once import with_once
-from stillhouse.functions.text import strip
 
 # Places to look for JSON in an answer, in order.
 FENCED_JSON = re.compile(r"```(?:json)?\s*\n?(.*?)\n?\s*```", re.DOTALL)

@@ -3,7 +3,6 @@
 import datetime
 import os
 
-from pyspark.sql import functions as F
 
 from stillhouse.operators.monitor import label_windows
 from stillhouse.streaming.drift import COUNTS, append_to, latest, read_log, retrain_alerts, upsert_to, windowed_labels

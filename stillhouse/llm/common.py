@@ -36,10 +36,10 @@ def numbered(df: DataFrame, order: list[Column], out: str, name: str = "numbered
     rows per partition (one row for each) turns these into global numbers. No task sees all rows.
     """
     rows = stored(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()),
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__place", F.monotonically_increasing_id()),
         name,
     )
-    part = F.shiftright("__at", ROW_BITS)
+    part = F.shiftright("__place", ROW_BITS)
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
         rows.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
@@ -47,6 +47,6 @@ def numbered(df: DataFrame, order: list[Column], out: str, name: str = "numbered
     )
     return (
         rows.withColumn("__part", part).join(parts, "__part")
-        .withColumn(out, F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
-        .drop("__part", "__before", "__at")
+        .withColumn(out, F.col("__before") + F.col("__place").bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
+        .drop("__part", "__before", "__place")
     )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from stillhouse.llm import languages, linededup, mixing, packing, quality, sanitise, simhash
-from stillhouse.llm.common import documents
+from stillhouse.llm import fingerprints, languages, licenses, linededup, mixing, packing, quality, sanitise, simhash, toolcalls
+from stillhouse.llm.common import documents, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 NOT_LEARNED = 2
@@ -35,6 +35,10 @@ def op2_sanitised_terms(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(documents(spark, folder).select("doc_id", "text"))
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = linededup.dedup_lines(documents(spark, folder).select("doc_id", "text"), keep_removed=True)
     return left.select(
@@ -50,6 +54,57 @@ def op5_language_backoff(spark: SparkSession, folder: str) -> DataFrame:
     return languages.predicted(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+CHAT_TOOLS = {
+    "answer": {
+        "properties": {"query": {"type": "string"}, "turn": {"type": "integer"}, "after": {"type": "string"}}, "required": ["query", "turn"],
+    },
+}
+
+
+def chat_messages(conversations: DataFrame) -> DataFrame:
+    """The turns as tool traffic: an assistant's turn calls a tool with its text, referring to the assistant's
+    call before it; a user's turn after it is the result; other turns are plain messages."""
+    turns = Window.partitionBy("conv_id").orderBy("turn")
+    asked = F.col("role") == "assistant"
+    earlier = F.last(F.when(asked, F.col("turn")), ignorenulls=True).over(turns.rowsBetween(Window.unboundedPreceding, -1))
+    rows = conversations.withColumn("__earlier", earlier).withColumn("__answers", (F.col("role") == "user") & (F.lag("role").over(turns) == "assistant"))
+
+    def name(turn: Column) -> Column:
+        return F.concat_ws("-", F.lit("call"), F.col("conv_id"), turn)
+
+    after = F.when(F.col("__earlier").isNotNull(), F.struct(name(F.col("__earlier")).alias("$ref")))
+    arguments = F.to_json(F.struct(F.col("text").alias("query"), F.col("turn").alias("turn"), after.alias("after")))
+    answers = F.coalesce("__answers", F.lit(False))
+    return rows.select(
+        F.col("conv_id").alias("conv"), "turn", F.when(answers, "tool").otherwise(F.col("role")).alias("role"), F.when(~asked, F.col("text")).alias("content"),
+        F.when(asked, name(F.col("turn"))).when(answers, name(F.col("__earlier"))).alias("call_id"), F.when(asked, "answer").alias("name"),
+        F.when(asked, arguments).alias("arguments"),
+    )
+
+
+def op6_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{folder.rstrip('/')}/conversations.parquet")
+    found = toolcalls.linked(chat_messages(conversations), CHAT_TOOLS)
+    return found.withColumnRenamed("conv", "conv_id")
+
+
+def op7_one_permutation_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    made = fingerprints.edited(documents(spark, folder).select("doc_id", "text"))
+    printed = fingerprints.with_fingerprint(made, F.col("edited_text"), "edited_fingerprint").select(
+        "at", F.col("record").alias("doc_id"), F.col("n").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
+        F.col("own").alias("fingerprint"), "edited_fingerprint", "times",
+    )
+    rows = stored(printed, "fingerprints")
+    total = F.lit(max(1, rows.count()))
+    following = rows.select(F.pmod(F.col("at") - 1, total).alias("at"), F.col("fingerprint").alias("__next"))
+    both = rows.join(following, "at").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "times",
+        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("__next")).alias("near_next"),
+    )
+    return both.withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("times")
+
+
 def op8_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.groups(documents(spark, folder).select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -67,7 +122,8 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_source_mix, op2_sanitised_terms, op4_line_dedup, op5_language_backoff, op8_simhash_groups, op9_quality_rules, op10_best_fit_packing,
+        op1_source_mix, op2_sanitised_terms, op3_license_scan, op4_line_dedup, op5_language_backoff, op6_tool_calls,
+        op7_one_permutation_minhash, op8_simhash_groups, op9_quality_rules, op10_best_fit_packing,
     )
 }
 
@@ -100,4 +156,45 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM rated"""
 
-ORACLES: dict[str, str] = {"op1_source_mix": MIX_SQL}
+LICENSE_SQL = r"""WITH templates(license, text) AS (VALUES {values}),
+cut AS (
+  SELECT license, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w FROM templates
+), known AS (
+  SELECT DISTINCT license, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                       ELSE [array_to_string(w, ' ')] END) AS shingle FROM cut WHERE len(w) > 0
+), sizes AS (SELECT license, count(*) AS n FROM known GROUP BY license), texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w FROM documents
+), own AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: {{'s': array_to_string(w[i:i + 4], ' '), 'i': i - 1}})
+                             ELSE [{{'s': array_to_string(w, ' '), 'i': 0}}] END) AS x FROM texts WHERE len(w) > 0
+)
+SELECT o.doc_id, k.license, CAST(count(DISTINCT k.shingle) AS DOUBLE) / n AS containment,
+       CAST(min(o.x.i) AS BIGINT) AS first_word, CAST(max(o.x.i) + 4 AS BIGINT) AS last_word
+FROM own o JOIN known k ON o.x.s = k.shingle JOIN sizes s ON s.license = k.license
+GROUP BY o.doc_id, k.license, n HAVING count(DISTINCT k.shingle) >= 0.8 * n""".format(
+    values=", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
+)
+
+# Keys of the JSON objects are in order already; an assistant's call has its depth among the conversation's calls as level.
+CHAT_SQL = r"""WITH turns AS (
+  SELECT *, last_value(CASE WHEN role = 'assistant' THEN turn END IGNORE NULLS) OVER (
+           PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier,
+         coalesce(role = 'user' AND lag(role) OVER (PARTITION BY conv_id ORDER BY turn) = 'assistant', false) AS answers,
+         lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS following,
+         count(*) FILTER (role = 'assistant') OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS calls
+  FROM conversations
+), named AS (
+  SELECT *, CASE WHEN role = 'assistant' THEN turn WHEN answers THEN earlier END AS call_turn FROM turns
+), ided AS (SELECT *, 'call-' || conv_id || '-' || call_turn AS call_id, 'call-' || conv_id || '-' || earlier AS earlier_id FROM named)
+SELECT conv_id, CASE WHEN answers THEN earlier ELSE turn END AS at, CAST(CASE WHEN call_turn IS NULL THEN 0 ELSE calls END AS INTEGER) AS level,
+       CASE WHEN answers THEN earlier ELSE turn END AS turn, call_id, CAST(answers AS INTEGER) AS part,
+       CASE WHEN role = 'assistant' AND following IS DISTINCT FROM 'user' THEN 'no_result' ELSE 'ok' END AS status, CAST(NULL AS VARCHAR) AS problem,
+       CASE WHEN role = 'assistant' THEN
+         '{"content":null,"role":"assistant","tool_calls":[{"arguments":{' ||
+         CASE WHEN earlier IS NULL THEN '' ELSE '"after":{"$ref":' || to_json(earlier_id) || '},' END ||
+         '"query":' || to_json(text) || ',"turn":' || turn || '},"id":' || to_json(call_id) || ',"name":"answer"}]}'
+       WHEN answers THEN '{"content":' || to_json(text) || ',"role":"tool","tool_call_id":' || to_json(call_id) || '}'
+       ELSE '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' END AS json
+FROM ided"""
+
+ORACLES: dict[str, str] = {"op1_source_mix": MIX_SQL, "op3_license_scan": LICENSE_SQL, "op6_tool_calls": CHAT_SQL}

@@ -16,6 +16,8 @@ sequences. Very long texts are cut into pieces, none is dropped. Other columns o
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -31,6 +33,9 @@ CAPACITY = 2048
 END = b"\0\0\0\0"
 CACHED_WORDS = 1 << 19
 ID_BYTES = 4
+TOGETHER = 1000
+STRETCH = 1 << 20
+LATIN = re.compile("[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
 def default_tokenizer() -> str:
@@ -40,21 +45,69 @@ def default_tokenizer() -> str:
 
 
 class WordEncoder:
-    """Token ids of whole texts as little-endian bytes, for tokenizers that never join text across ASCII white
-    space and drop it: words are encoded once and remembered, up to a bound."""
+    """Token ids of whole texts as little-endian bytes, for tokenizers that fold case, cut at ASCII white space and between
+    letters and other signs, and mark the last token of a run of letters with ``</w>``.
+
+    Words are encoded once and remembered, up to a bound. A new word goes to the tokenizer in lower case and without
+    a final full stop or comma, whose ids follow; runs of Latin letters go many at a time in one text, which the
+    marks cut again.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.stops = {stop: self._one(stop) for stop in (b".", b",")}
+
+    def _one(self, word: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _many(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are runs of Latin letters."""
+        groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        texts, out = [b" ".join(g).decode() for g in groups], {}
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(group) or ends[-1] != len(ids):
+                out.update((w, self._one(w)) for w in group)
+                continue
+            whole, bounds = ids.tobytes(), [0, *(ends * ID_BYTES).tolist()]
+            out.update((w, whole[x:y]) for w, x, y in zip(group, bounds, bounds[1:]))
+        return out
 
     def learn(self, words: list[bytes]) -> None:
-        new = [w for w in set(words) if w not in self.known]
-        if len(self.known) + len(new) > CACHED_WORDS:
+        new = {w for w in words if w not in self.known}
+        if len(self.known) + 2 * len(new) > CACHED_WORDS:
             self.known.clear()
-            new = list(set(words))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
+            new = set(words)
+        bodies = {}
+        for word in new:
+            low = word.lower()
+            stop = low[-1:]
+            bodies[word] = (low[:-1], stop) if stop in self.stops and low[-2:-1].isalnum() else (low, b"")
+        open_words = {low for low, _ in bodies.values() if low not in self.known}
+        runs = [w for w in open_words if LATIN.fullmatch(w.decode())]
+        self.known.update(self._many(runs))
+        self.known.update((w, self._one(w)) for w in open_words if w not in self.known)
+        for word, (low, stop) in bodies.items():
+            if word not in self.known:
+                self.known[word] = self.known[low] + self.stops[stop] if stop else self.known[low]
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids and the final id of each text; new words are learned over stretches of texts, to send many at once."""
+        held, size = [], 0
+        for at, text in enumerate(texts):
+            held.append(text.as_py())
+            size += len(held[-1] or "")
+            if size >= STRETCH or at == len(texts) - 1:
+                self.learn([w for t in held if t for w in t.encode().split()])
+                yield from (self.encode(t) + END for t in held)
+                held, size = [], 0
 
     def encode(self, text: str | None) -> bytes:
         words = (text or "").encode().split()
@@ -82,8 +135,7 @@ def pieces(docs: DataFrame, record: str = "doc_id", text: str = "text", tokenize
         step = capacity * ID_BYTES
         for batch in batches:
             at, out = [], [[] for _ in range(7 + with_ids)]
-            for row, value in enumerate(batch.column(1)):
-                ids = encoder.encode(value.as_py()) + END
+            for row, ids in enumerate(encoder.encode_all(batch.column(1))):
                 for piece, start in enumerate(range(0, len(ids), step)):
                     cut = ids[start:start + step]
                     length = len(cut) // ID_BYTES

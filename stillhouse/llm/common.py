@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stillhouse.sources.workspace import new_folder
@@ -9,6 +12,7 @@ from stillhouse.sources.workspace import new_folder
 # Words are runs of anything but ASCII white space, as bytes.split() cuts them.
 WORD = r"[^\x20\x09-\x0D]+"
 ROW_BITS = 33
+SLICE = 1000
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,6 +27,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, which bounds what a task's Python holds of long texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def row_key(df: DataFrame) -> list[Column]:
     """Two 64-bit hashes of a row's whole content. Identical rows share them, so they share decisions."""
     columns = [F.col(f"`{c}`") for c in df.columns]

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from stillhouse.llm.common import row_key, stored
+from stillhouse.llm.common import row_key, sliced, stored
 from stillhouse.llm.components import components
 
 WIDTH = 8
@@ -109,7 +109,7 @@ def _occurrences(docs: DataFrame, record: str, text: str) -> DataFrame:
     schema = f"record {kind}, __k1 bigint, __k2 bigint, pos int, mark bigint, n int, keys array<bigint>"
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             at, positions, marks, first, times, lines = [], [], [], {}, [], []
             for row, value in enumerate(batch.column(3)):
                 for pos, line in enumerate((value.as_py() or "").split("\n")):
@@ -154,7 +154,7 @@ def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         admitted = sent.value.view(np.uint64)
-        for batch in batches:
+        for batch in sliced(batches):
             found = {}
             for value in batch.column(0):
                 for line in (value.as_py() or "").split("\n"):

@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from stillhouse.llm.common import stored
+from stillhouse.llm.common import sliced, stored
 
 CAPACITY = 2048
 END = b"\0\0\0\0"
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 18
 ID_BYTES = 4
 TOGETHER = 1000
 STRETCH = 1 << 20
@@ -133,7 +133,7 @@ def pieces(docs: DataFrame, record: str = "doc_id", text: str = "text", tokenize
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen, part = WordEncoder(path), defaultdict(int), TaskContext.get().partitionId()
         step = capacity * ID_BYTES
-        for batch in batches:
+        for batch in sliced(batches):
             at, out = [], [[] for _ in range(7 + with_ids)]
             for row, ids in enumerate(encoder.encode_all(batch.column(1))):
                 for piece, start in enumerate(range(0, len(ids), step)):
@@ -209,7 +209,7 @@ def placed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value
         starts = {n: rows for n, rows in ((n, table[table[:, 0] == n]) for n in np.unique(table[:, 0]))}
-        for batch in batches:
+        for batch in sliced(batches):
             lengths, ranks = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("length", "__rank"))
             sequence, offset = np.empty(len(ranks), np.int64), np.empty(len(ranks), np.int64)
             for n in np.unique(lengths):

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from stillhouse.llm.common import stored
+from stillhouse.llm.common import sliced, stored
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -94,7 +94,7 @@ def _measured(docs: DataFrame, record: str, text: str, host: str) -> DataFrame:
     schema = f"{kinds}, {', '.join(f'{c} bigint' for c in BASE)}, marks array<bigint>, sizes array<bigint>"
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             table = pa.Table.from_batches([batch])
             found = list(zip(*[features(t.as_py()) for t in table.column("text")])) or [[]] * (len(BASE) + 2)
             table = table.drop_columns("text")

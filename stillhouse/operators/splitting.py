@@ -14,8 +14,6 @@ DEFAULT_TEST_SIZE = 0.2
 MAX_TEST_SIZE = 0.5
 
 DIGITS = 3
-# Spark prunes row_number() <= k before the shuffle up to this k by default.
-PRUNED_WINDOW_ROWS = 1000
 
 
 def test_size(total: Column, eval_samples: Column | int | None, default: float = DEFAULT_TEST_SIZE,
@@ -33,8 +31,8 @@ def train_rows(size: Column | float) -> Callable[[Column], Column]:
 
 
 def split_key(record: Column, seed: int = SEED) -> Column:
-    """Position of a record in the shuffled order: depends on the seed and the record only."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), record.cast("string")))
+    """Position of a record in the shuffled order: depends on the seed and the record only. Nulls share one."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(record.cast("string"), F.lit("\0"))))
 
 
 def _bucket_of_rank(counts: DataFrame, groups: list[str], rank: Column) -> DataFrame:
@@ -89,7 +87,8 @@ def _before_cut(df: DataFrame, record: str, groups: list[str], take: Callable[[C
     cuts = cut_points(rows, record, spread, take, seed)
     joined = lookup(rows, cuts, spread)
     key = split_key(F.col(record), seed)
-    before = (key < F.col("cut_key")) | ((key == F.col("cut_key")) & (F.col(record) <= F.col("cut_record")))
+    upto = F.coalesce(F.col(record) <= F.col("cut_record"), F.col(record).isNull() & F.col("cut_record").isNull())
+    before = (key < F.col("cut_key")) | ((key == F.col("cut_key")) & upto)
     marked = joined.withColumn("__before", F.coalesce(before, F.lit(False))).drop("cut_key", "cut_record")
     return marked if groups else marked.drop("__all")
 
@@ -99,7 +98,7 @@ def split_exactly(df: DataFrame, record: str, groups: list[str] | None = None,
     """Adds ``split``: 'train' for the first int(n * (1 - size)) records of each group, else 'test'.
 
     Without ``size`` the size rule applies to each group's total. The rows are not shuffled: the
-    final step compares each key with its group's cut.
+    final step compares each key with its group's cut. Rows that share a record id, or have none, share a side.
     """
     def take(total: Column) -> Column:
         share = size if size is not None else test_size(total, eval_samples)
@@ -112,22 +111,12 @@ def split_exactly(df: DataFrame, record: str, groups: list[str] | None = None,
 def head(df: DataFrame, record: str, n: int | None, groups: list[str] | None = None, seed: int = SEED) -> DataFrame:
     """The first ``n`` records of each group in shuffled order; 0 or None keeps all.
 
-    Files have no order in Spark, so the split order stands in for it.
+    Files have no order in Spark, so the split order stands in for it. Rows that share a record id (or have none)
+    share a place, so they are taken together: ``n`` can then be passed by the last id's repeats.
     """
     if not n:
         return df
-    if groups is None or not groups:
-        key = split_key(F.col(record), seed)
-        return df.orderBy(key, record).limit(n)
-    if n <= PRUNED_WINDOW_ROWS:
-        order = Window.partitionBy(*groups).orderBy("__key", record)
-        return (
-            df.withColumn("__key", split_key(F.col(record), seed))
-            .withColumn("__at", F.row_number().over(order))
-            .filter(F.col("__at") <= n)
-            .drop("__at", "__key")
-        )
-    marked = _before_cut(df, record, groups, lambda total: F.least(total, F.lit(n)), seed)
+    marked = _before_cut(df, record, groups or [], lambda total: F.least(total, F.lit(n)), seed)
     return marked.filter("__before").drop("__before")
 
 

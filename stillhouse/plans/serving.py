@@ -95,7 +95,7 @@ WITH {SERVING_LOG} SELECT strftime(date_trunc('day', ts), '{SQL_STAMP}') AS wind
 def label_windows_streamed(t):
     """The same counts from a stream over the events file, kept up to date per batch."""
     spark = t.spark
-    log = read_log(spark, t.folder, LOG_SCHEMA, files="events.parquet")
+    log = read_log(spark, f"{t.folder}/events.parquet*", LOG_SCHEMA)
     counts = windowed_labels(log.withColumnRenamed("event_type", "label"), "40 days", "1 day")
     out, state = new_folder(spark, "windows"), new_folder(spark, "state")
     upsert_to(counts, out, state).awaitTermination()
@@ -108,8 +108,8 @@ FROM events WHERE ('0x' || substr(md5('42|' || event_id), 1, 8))::BIGINT < 42949
 def shadow_pairs_streamed(t):
     """Student and teacher answers joined as two streams with bounded state."""
     spark = t.spark
-    log = read_log(spark, t.folder, LOG_SCHEMA, files="events.parquet").select(F.col("event_id").alias("request_id"), "ts", F.col("event_type").alias("label"))
-    taught = shadow_sample(read_log(spark, t.folder, LOG_SCHEMA, files="events.parquet").withColumnRenamed("event_id", "request_id"), 0.1).select(
+    log = read_log(spark, f"{t.folder}/events.parquet*", LOG_SCHEMA).select(F.col("event_id").alias("request_id"), "ts", F.col("event_type").alias("label"))
+    taught = shadow_sample(read_log(spark, f"{t.folder}/events.parquet*", LOG_SCHEMA).withColumnRenamed("event_id", "request_id"), 0.1).select(
         "request_id", (F.col("ts") + F.expr("INTERVAL 2 SECONDS")).alias("ts"),
         F.when(F.col("request_id") % 13 == 0, "other").otherwise(F.col("event_type")).alias("label"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,11 +15,14 @@ _fallback: dict[str, str] = {}
 def workspace(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where it is unset, as in local tests, a temporary folder of this process.
+    Where it is unset, a session on one machine (a ``local`` master, as in tests) gets a temporary folder of this
+    process; any other raises, as its executors would each write to a disk of their own.
     """
     named = spark.sparkContext.getConf().get(SETTING) or spark.conf.get(SETTING, None)
     if named:
         return named.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError(f"set {SETTING} to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback:
         _fallback[app] = tempfile.mkdtemp(prefix="stillhouse-")

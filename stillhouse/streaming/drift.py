@@ -10,17 +10,14 @@ from stillhouse.operators.monitor import label_windows
 COUNTS = "window_start timestamp, window_end timestamp, label string, n bigint, batch bigint"
 
 
-def read_log(spark: SparkSession, path: str, schema: str, ts: str = "ts", files_per_batch: int | None = None,
-             files: str | None = None) -> DataFrame:
-    """Parquet files of a log folder as a stream, oldest file first; ``files`` is a name pattern.
+def read_log(spark: SparkSession, path: str, schema: str, ts: str = "ts", files_per_batch: int | None = None) -> DataFrame:
+    """Parquet files of a log as a stream, oldest file first. ``path`` may be a pattern of files and folders.
 
     ``ts`` becomes a TIMESTAMP: watermarks refuse TIMESTAMP_NTZ.
     """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if files:
-        reader = reader.option("pathGlobFilter", files)
     return reader.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
 
 

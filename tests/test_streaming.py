@@ -3,8 +3,11 @@
 import datetime
 import os
 
+import pytest
+
 
 from stillhouse.operators.monitor import label_windows
+from stillhouse.plans import QUERIES
 from stillhouse.streaming.drift import COUNTS, append_to, latest, read_log, retrain_alerts, upsert_to, windowed_labels
 
 SCHEMA = "request_id bigint, ts timestamp, label string, expected string, model string"
@@ -70,3 +73,11 @@ def test_retrain_alerts(spark, tmp_path):
     append_to(alerts, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
     rows = spark.read.schema("window_start timestamp, model string, n bigint, accuracy double").parquet(f"{tmp_path}/out").collect()
     assert [(r.window_start.day, r.n, r.accuracy) for r in rows] == [(2, 10, 0.0)]
+
+
+@pytest.mark.parametrize("name", ["label_windows_streamed", "shadow_pairs_streamed"])
+def test_streamed_queries_read_a_folder_of_parts_like_one_file(spark, tmp_path, name):
+    one = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{one}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    rows = [sorted(map(str, QUERIES[name](spark, folder).collect())) for folder in (one, str(tmp_path))]
+    assert rows[0] == rows[1] and rows[0]

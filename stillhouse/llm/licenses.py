@@ -3,8 +3,8 @@
 A template matches a text if at least ``CONTAINED`` of its 5-word shingles occur in it. Windows are runs of ``WINDOW``
 shingles, half overlapping in texts and at every position in templates; ``BANDS`` bands of ``ROWS`` minima give
 windows of similarity s a common key with probability 1 - (1 - s^ROWS)^BANDS, over 99.9 % at 0.8. Templates of fewer
-shingles than a window have windows of one shingle, which any shared shingle retrieves. A text that
-holds no shingle of any template cannot match; a bit map of fixed size tells most of these before windows are cut.
+shingles than a window have windows of one shingle, which any shared shingle retrieves. A bit map of
+fixed size tells which shingles of a text may be a template's; only these, and the keys of windows that hold one, are kept.
 
 Column functions only. Defined results: null and empty texts match nothing; letter case and punctuation are ignored;
 a text that holds a template several times has one row for it; repeated rows have their own rows; templates of fewer
@@ -24,7 +24,7 @@ WINDOW = 8
 BANDS = 8
 ROWS = 2
 CONTAINED = 0.8
-SLOT_BITS = 16
+SLOT_BITS = 20
 
 # Wording of public licences and of common notices.
 TEMPLATES = {
@@ -75,19 +75,30 @@ def _keys(window: Column, turned: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(b), *[least(b * ROWS + r) for r in range(ROWS)]) for b in range(BANDS)])
 
 
-def _windows(df: DataFrame, stride: int) -> DataFrame:
-    """(columns of df, key): a row per distinct key of the windows over ``__shingles``."""
-    last = F.greatest(F.lit(0), F.size("__shingles") - WINDOW)
-    starts = F.array_union(F.sequence(F.lit(0), last, F.lit(stride)), F.array(last))
-    cut = df.select("*", F.explode(starts).alias("__start"))
-    window = with_once(cut, "__window", F.slice("__shingles", F.col("__start") + 1, F.lit(WINDOW)))
-    rest = [F.col(f"`{c}`") for c in df.columns if c != "__shingles"]
-    return window.select(*rest, F.explode(_keys(F.col("__window"), 100)).alias("key")).distinct()
+def _template_keys(known: DataFrame) -> DataFrame:
+    """(license, key): the keys of each template's windows, at every position."""
+    starts = F.sequence(F.lit(0), F.size("__shingles") - WINDOW)
+    large = known.filter(F.size("__shingles") >= WINDOW).select("*", F.explode(starts).alias("__start"))
+    window = with_once(large, "__window", F.slice("__shingles", F.col("__start") + 1, F.lit(WINDOW)))
+    keys = window.select("license", F.explode(_keys(F.col("__window"), 100)).alias("key"))
+    small = known.filter(F.size("__shingles") < WINDOW).select("license", F.explode("__shingles").alias("h"))
+    return keys.unionByName(small.select("license", _single(F.col("h")).alias("key"))).distinct()
+
 
+def _single(shingle: Column) -> Column:
+    return F.xxhash64(F.lit(-1), shingle)
 
-def _single(df: DataFrame) -> DataFrame:
-    rest = [F.col(f"`{c}`") for c in df.columns if c != "__shingles"]
-    return df.select(*rest, F.explode(F.transform(F.array_distinct("__shingles"), lambda h: F.xxhash64(F.lit(-1), h))).alias("key"))
+
+def _text_keys() -> Column:
+    """Distinct keys of a text's windows and shingles. The minima of a window that agrees with a template's are
+    shingles of the template, so windows without a hit need no keys."""
+    stride = WINDOW // 2
+    last = F.greatest(F.lit(0), F.size("__shingles") - WINDOW)
+    over = F.flatten(F.transform("__hits", lambda x: F.array(*[x["at"] - x["at"] % stride - back for back in (0, stride)], last)))
+    starts = F.filter(F.array_distinct(over), lambda s: (s >= 0) & (s <= last))
+    windows = F.transform(starts, lambda s: F.slice("__shingles", s + 1, F.lit(WINDOW)))
+    keys = F.flatten(F.transform(windows, lambda w: _keys(w, 100)))
+    return F.array_distinct(F.concat(keys, F.transform("__hits", lambda x: _single(x["h"]))))
 
 
 def scan(docs: DataFrame, templates: DataFrame | None = None, record: str = "doc_id", text: str = "text",
@@ -101,33 +112,37 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, record: str = "doc
     known = with_shingles(given, words(F.col("__text")), "__shingles").drop("__text").filter(F.size("__shingles") > 0)
     known = stored(known.withColumn("__shingles", F.array_distinct("__shingles")), "templates")
 
-    slot = F.shiftrightunsigned("h", 64 - SLOT_BITS)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int"))
-    filled = known.select(F.explode("__shingles").alias("h")).groupBy(F.shiftright(slot, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
-    bits = [0] * (1 << (SLOT_BITS - 6))
+    def slot(h: Column) -> Column:
+        return F.shiftrightunsigned(h, 64 - SLOT_BITS)
+
+    def bit(h: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), slot(h).bitwiseAND(F.lit(63)).cast("int"))
+
+    each = known.select(F.explode("__shingles").alias("h"))
+    filled = each.groupBy(F.shiftright(slot(F.col("h")), 6).cast("int").alias("word")).agg(F.bit_or(bit(F.col("h"))).alias("bits"))
+    bits = ["0"] * (1 << (SLOT_BITS - 6))
     for row in filled.collect():  # as many rows as the map has words at most
-        bits[row["word"]] = row["bits"]
+        bits[row["word"]] = str(row["bits"])
+    # One string that the optimizer folds into one array.
+    words_of_map = F.split(F.lit(",".join(bits)), ",").cast("array<bigint>")
 
     def admitted(h: Column) -> Column:
-        slot = F.shiftrightunsigned(h, 64 - SLOT_BITS)
-        word = F.get("__map", F.shiftright(slot, 6).cast("int"))
-        return word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int"))) != 0
+        return F.get(words_of_map, F.shiftright(slot(h), 6).cast("int")).bitwiseAND(bit(h)) != 0
 
     texts = with_shingles(docs.select(F.col(record).alias("__record"), F.col(text).alias("__text")), words(F.col("__text")), "__shingles").drop("__text")
-    mapped = texts.withColumn("__map", F.lit(bits).cast("array<bigint>"))
-    near = mapped.filter(F.exists("__shingles", admitted)).drop("__map").withColumn("__row", F.monotonically_increasing_id())
-    texts = stored(near, "texts")
-
-    large = F.size("__shingles") >= WINDOW
-    template_keys = _windows(known.filter(large), 1).unionByName(_single(known.filter(~large)))
-    rows = texts.select("__row", "__shingles")
-    text_keys = _windows(rows, WINDOW // 2).unionByName(_single(rows))
-    retrieved = text_keys.join(template_keys, "key").select("__row", "license").distinct()
-
-    pairs = retrieved.join(known.withColumnRenamed("__shingles", "__template"), "license").join(texts, "__row")
-    both = F.size(F.array_intersect("__template", "__shingles"))
+    at_hits = F.transform("__shingles", lambda h, i: F.when(admitted(h), F.struct(i.alias("at"), h.alias("h"))))
+    hits = with_once(texts, "__hits", F.array_compact(at_hits)).filter(F.size("__hits") > 0)
+    # Of a text only the shingles that may be a template's are kept, and the keys of the windows around them.
+    kept = hits.select("__record", "__hits", _text_keys().alias("__keys")).withColumn("__row", F.monotonically_increasing_id())
+    texts = stored(kept, "texts")
+
+    text_keys = texts.select("__row", F.explode("__keys").alias("key"))
+    retrieved = text_keys.join(_template_keys(known), "key").select("__row", "license").distinct()
+
+    pairs = retrieved.join(known.withColumnRenamed("__shingles", "__template"), "license").join(texts.drop("__keys"), "__row")
+    both = F.size(F.array_intersect("__template", F.transform("__hits", lambda x: x["h"])))
     share = with_once(pairs, "containment", both / F.size("__template").cast("double")).filter(F.col("containment") >= contained)
-    at = F.filter(F.sequence(F.lit(0), F.size("__shingles") - 1), lambda i: F.array_contains("__template", F.get("__shingles", i)))
+    at = F.transform(F.filter("__hits", lambda x: F.array_contains("__template", x["h"])), lambda x: x["at"])
     found = with_once(share, "__at", at)
     return found.select(
         F.col("__record").alias(record), "license", "containment", F.array_min("__at").cast("bigint").alias("first_word"),

@@ -46,15 +46,12 @@ def pairs_of_conversations(t):
 
 
 @registered("conversation_records", """
-SELECT conv_id, 0 AS part, count(*) FILTER (WHERE role = 'assistant') AS targets, count(*) AS n_messages,
-  string_agg(role, ',' ORDER BY turn) AS roles, md5(string_agg(text, '|' ORDER BY turn)) AS digest
-FROM conversations GROUP BY conv_id HAVING count(*) FILTER (WHERE role = 'assistant') > 0""")
+SELECT * FROM (
+  SELECT conv_id, turn, role, md5(text) AS content, coalesce(role = 'assistant', false) AS train,
+    count(*) FILTER (WHERE role = 'assistant') OVER (PARTITION BY conv_id) AS targets
+  FROM conversations) WHERE targets > 0""")
 def records_of_conversations(t):
-    records = conversation_records(t.conversations)
-    return records.select(
-        "conv_id", "part", "targets", F.size("messages").cast("bigint").alias("n_messages"),
-        F.array_join("messages.role", ",").alias("roles"), F.md5(F.array_join("messages.content", "|")).alias("digest"),
-    )
+    return conversation_records(t.conversations).withColumn("content", F.md5("content"))
 
 
 @registered("message_records", f"""

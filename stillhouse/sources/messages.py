@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-TURNS_PER_RECORD = 1024
 TURNS_PER_BLOCK = 4096
 
 
@@ -34,34 +33,19 @@ def conversation_records(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    turns_per_record: int = TURNS_PER_RECORD,
 ) -> DataFrame:
-    """One training record per conversation: every turn in order, assistant turns marked for training.
+    """The turns of every conversation with an assistant turn: (conversation, turn, role, content, train, targets).
 
-    A conversation longer than ``turns_per_record`` continues in further records (``part``), so no
-    group collects more turns than that however long one conversation is. Turn numbers are unique
-    within a conversation. Conversations without any assistant turn give no record.
+    A conversation is one training record of any length, so it stays as rows, ordered by ``turn``, and no group is
+    collected. ``train`` marks the assistant turns, ``targets`` counts them in the whole conversation. Turns without
+    a conversation id are one conversation; a null role is not trained on.
     """
-    part = F.floor(F.col(turn) / F.lit(turns_per_record)).cast("bigint")
-    message = F.struct(
-        F.col(turn).alias("turn"),
-        F.col(role).alias("role"),
-        F.col(text).alias("content"),
-        (F.col(role) == "assistant").alias("train"),
-    )
-    grouped = turns.groupBy(F.col(conversation), part.alias("part")).agg(
-        F.sort_array(F.collect_list(message)).alias("turns"),
-        F.count_if(F.col(role) == "assistant").alias("targets"),
-    )
-    return grouped.filter("targets > 0").select(
-        conversation,
-        "part",
-        "targets",
-        F.transform(
-            "turns",
-            lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"), t["train"].alias("train")),
-        ).alias("messages"),
+    train = F.coalesce(F.col(role) == "assistant", F.lit(False))
+    rows = turns.select(
+        F.col(conversation), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"), train.alias("train")
     )
+    counts = rows.filter("train").groupBy(F.col(conversation).alias("__conversation")).agg(F.count("*").alias("targets"))
+    return rows.join(counts, F.col(conversation).eqNullSafe(F.col("__conversation"))).drop("__conversation")
 
 
 def previous_turn(
@@ -69,19 +53,12 @@ def previous_turn(
 ) -> DataFrame:
     """``lag`` by one row within a group, safe for a group of any size. Adds ``prev_<column>``.
 
-    A plain window sorts a whole group in one task. So one cheap pass over the order key looks
-    whether any group can be longer than a block. If so, ``lag`` runs per block of the order key,
-    and the first row of a block takes the last row of the block before it from a table with one
-    row per block.
+    A plain window sorts a whole group in one task, so ``lag`` runs per block of the order key, and the
+    first row of a block takes the last row of the block before it from a table with one row per block.
+    Rows with a null group are a group of their own.
     """
     carried = F.struct(*[F.col(c) for c in columns])
     block = F.floor(F.col(order) / F.lit(turns_per_block)).cast("bigint")
-    lowest, highest = turns.agg(F.min(block), F.max(block)).first()
-    if lowest == highest:
-        window = Window.partitionBy(group).orderBy(order)
-        lagged = turns.withColumn("__prev", F.lag(carried).over(window))
-        return lagged.withColumns({f"prev_{c}": F.col("__prev")[c] for c in columns}).drop("__prev")
-
     blocked = turns.withColumn("__block", block)
     inside = Window.partitionBy(group, "__block").orderBy(order)
     across = Window.partitionBy(group).orderBy("__block")
@@ -89,10 +66,11 @@ def previous_turn(
     before = (
         last.withColumn("__before", F.lag("__last").over(across))
         .filter(F.col("__before").isNotNull())
-        .select(group, "__block", "__before")
+        .select(F.col(group).alias("__group"), F.col("__block").alias("__of"), "__before")
     )
     lagged = blocked.withColumn("__lag", F.lag(carried).over(inside))
-    joined = lagged.join(before, [group, "__block"], "left")
+    same = F.col(group).eqNullSafe(F.col("__group")) & F.col("__block").eqNullSafe(F.col("__of"))
+    joined = lagged.join(before, same, "left").drop("__group", "__of")
     prev = F.coalesce("__lag", "__before")
     return joined.withColumns({f"prev_{c}": prev[c] for c in columns}).drop("__block", "__lag", "__before")
 

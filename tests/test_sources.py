@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from stillhouse.plans.build import build_dataset, written_records
 from stillhouse.sources import builtin_specs as specs
@@ -46,16 +46,28 @@ def test_conversations(spark):
     )
     pairs = {r.record_id: (r.input_role, r.input, r.output) for r in assistant_pairs(turns).collect()}
     assert pairs == {"1-2": ("user", "u1", "a1"), "1-5": ("assistant", "a1", "a2"), "3-2": ("user", "u", "b")}
-    whole = {r.conv_id: [m.role for m in r.messages] for r in conversation_records(turns).collect()}
-    assert whole == {1: ["system", "user", "assistant", "assistant"], 3: ["assistant", "user", "assistant"]}
-    parts = {(r.conv_id, r.part): [m.content for m in r.messages] for r in conversation_records(turns, turns_per_record=3).collect()}
-    assert parts == {(1, 0): ["s", "u1", "a1"], (1, 1): ["a2"], (3, 0): ["first", "u", "b"]}
+    whole = sorted((r.conv_id, r.turn, r.content, r.train, r.targets) for r in conversation_records(turns).collect())
+    assert whole == [(1, 0, "s", False, 2), (1, 1, "u1", False, 2), (1, 2, "a1", True, 2), (1, 5, "a2", True, 2),
+                     (3, 0, "first", True, 2), (3, 1, "u", False, 2), (3, 2, "b", True, 2)]
+
+
+def test_long_and_nameless_conversations(spark):
+    role = F.when(F.col("id").isin(3, 7000), "assistant").when(F.col("id") != 5, "user")
+    turns = spark.range(10_000).select(
+        F.when(F.col("id") >= 5000, F.lit(None)).otherwise(F.lit(1)).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        role.alias("role"), F.concat(F.lit("t"), "id").alias("text"),
+    )
+    kept = conversation_records(turns)
+    assert kept.count() == 10_000 and sorted(r.turn for r in kept.filter("train").collect()) == [3, 7000]
+    assert sorted((r.turn, r.input) for r in assistant_pairs(turns).collect()) == [(3, "t2"), (7000, "t6999")]
+    assert [r.prev_text for r in previous_turn(turns, "conv_id", "turn", ["text"], 4).filter("turn in (4999, 5000, 5004)").orderBy("turn").collect()] == ["t4998", None, "t5003"]
 
 
 def test_previous_turn_in_blocks_equals_lag(spark):
     turns = spark.range(500).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1001).alias("turn"), F.col("id").alias("v"))
-    plain = sorted(map(tuple, previous_turn(turns, "g", "turn", ["v"]).select("g", "turn", "v", "prev_v").collect()))
-    for size in (1, 10, 64):
+    lagged = turns.withColumn("prev_v", F.lag("v").over(Window.partitionBy("g").orderBy("turn")))
+    plain = list(map(tuple, lagged.select("g", "turn", "v", "prev_v").collect()))
+    for size in (1, 10, 64, 4096):
         blocks = previous_turn(turns, "g", "turn", ["v"], turns_per_block=size).select("g", "turn", "v", "prev_v")
         assert sorted(map(tuple, blocks.collect()), key=repr) == sorted(plain, key=repr)
 

@@ -24,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from stillhouse.llm.common import row_key, stored
+from stillhouse.llm.common import row_key, sliced, stored
 
 KINDS = ["email", "ip", "card", "phone"]
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -137,19 +138,25 @@ def _based(docs: DataFrame, keep: list[Column], text: str) -> DataFrame:
     """The kept columns, two hashes of the text, base spans, and (entity, term) pairs near them."""
     rows = docs.select(*keep, F.xxhash64(F.col(text)).alias("t1"), F.xxhash64(F.lit(1), F.col(text)).alias("t2"), F.col(text).alias("__text"))
 
-    @F.pandas_udf(f"base array<{SPAN}>, entities array<string>, pairs array<struct<entity string, term string>>")
-    def find(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for text in texts:
-            spans = base_spans(text)
-            out.append((
-                [{"kind": k, "start": a, "stop": b, "value": text[a:b]} for k, a, b in spans],
-                sorted({entity(k, text[a:b]) for k, a, b in spans}),
-                [{"entity": e, "term": t} for e, t in neighbours(text, spans)] if spans else [],
-            ))
-        return pd.DataFrame(out, columns=["base", "entities", "pairs"])
+    names = [c for c in rows.columns if c != "__text"]
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
+    span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("value", pa.string())])
+    pair = pa.struct([("entity", pa.string()), ("term", pa.string())])
 
-    return stored(rows.withColumn("__found", find("__text")).drop("__text").select("*", "__found.*").drop("__found"), "spans")
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            base, entities, pairs = [], [], []
+            for value in batch.column(len(names)):
+                text = value.as_py()
+                spans = base_spans(text)
+                base.append([{"kind": k, "start": a, "stop": b, "value": text[a:b]} for k, a, b in spans])
+                entities.append(sorted({entity(k, text[a:b]) for k, a, b in spans}))
+                pairs.append([{"entity": e, "term": t} for e, t in neighbours(text, spans)] if spans else [])
+            made = [pa.array(base, pa.list_(span)), pa.array(entities, pa.list_(pa.string())), pa.array(pairs, pa.list_(pair))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*names, "base", "entities", "pairs"])
+
+    schema = f"{kinds}, base array<{SPAN}>, entities array<string>, pairs array<struct<entity string, term string>>"
+    return stored(rows.mapInArrow(find, schema), "spans")
 
 
 def _hits(docs: DataFrame, keep: list[Column], text: str, admitted: np.ndarray) -> DataFrame:
@@ -157,8 +164,10 @@ def _hits(docs: DataFrame, keep: list[Column], text: str, admitted: np.ndarray)
     sent = docs.sparkSession.sparkContext.broadcast(np.packbits(admitted))
     rows = docs.select(*keep, F.col(text).alias("__text"))
 
-    @F.pandas_udf("array<struct<term string, start int, stop int>>")
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    names = [c for c in rows.columns if c != "__text"]
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(sent.value).view(bool)
         known: dict[str, bool] = {}
 
@@ -169,14 +178,20 @@ def _hits(docs: DataFrame, keep: list[Column], text: str, admitted: np.ndarray)
                 known[term] = bool(bits[slot(term)])
             return known[term]
 
-        for texts in batches:
-            yield pd.Series([
-                [{"term": t, "start": m.start(), "stop": m.end()} for m in TERM.finditer(text or "") if admits(t := m[0].lower())]
-                for text in texts
-            ], dtype=object)
-
-    found = rows.withColumn("__hits", find("__text")).drop("__text")
-    return found.select("*", F.explode("__hits").alias("__hit")).drop("__hits").select("*", "__hit.*").drop("__hit")
+        for batch in sliced(batches):
+            at, terms, starts, stops = [], [], [], []
+            for row, value in enumerate(batch.column(len(names))):
+                for m in TERM.finditer(value.as_py() or ""):
+                    if admits(term := m[0].lower()):
+                        at.append(row)
+                        terms.append(term)
+                        starts.append(m.start())
+                        stops.append(m.end())
+            rest = [c.take(pa.array(at, pa.int64())) for c in batch.columns[:-1]]
+            made = [pa.array(terms, pa.string()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*rest, *made], names=[*names, "term", "start", "stop"])
+
+    return rows.mapInArrow(find, f"{kinds}, term string, start int, stop int")
 
 
 def disclosing(based: DataFrame, hits: DataFrame, total: int, support: int = SUPPORT, at_least: float = GENERALISE_AT) -> DataFrame:

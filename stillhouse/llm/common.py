@@ -13,6 +13,9 @@ from stillhouse.sources.workspace import new_folder
 WORD = r"[^\x20\x09-\x0D]+"
 ROW_BITS = 33
 SLICE = 1000
+# Spark fills a batch for Python with up to 10,000 rows, whatever their length; this bounds its bytes as well.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "8m"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,10 +24,15 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read back: lineage is cut, and values that depend on
-    the order of evaluation stay fixed if an executor is lost."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    the order of evaluation stay fixed if an executor is lost. Meanwhile batches for Python have ``BATCH_BYTES`` at most."""
+    spark = df.sparkSession
+    path, usual = new_folder(spark, name), spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_SETTING, usual)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:

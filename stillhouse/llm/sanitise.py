@@ -7,8 +7,9 @@ independent. Terms at or above ``remove_at`` are removed and those at or above `
 replaced by a general word, wherever they occur.
 
 Candidate terms are the words of four letters or more near an entity (``NEAR`` words on either side) in at
-least ``support`` distinct texts. Their frequencies are counted over all documents in a second pass,
-for which tasks get a bit map of fixed size (``SLOTS`` bits) that admits all candidates; exact joins follow.
+least ``support`` distinct texts. Their frequencies are counted over all documents in a second pass, and a third
+one finds the disclosing terms. For both, tasks get a bit map of fixed size (``SLOTS`` bits) that admits all
+wanted terms; exact joins follow.
 
 Defined results: null text is empty; copies of a text count as documents but as one text for the
 support; a row that repeats another one gets equal spans; ties cannot arise, as thresholds are inclusive; an
@@ -43,6 +44,7 @@ SUPPORT = 3
 REMOVE_AT = 0.9
 GENERALISE_AT = 0.7
 SLOTS = 1 << 20
+REMEMBERED = 1 << 18
 SPAN = "struct<kind string, start int, stop int, value string>"
 
 
@@ -159,6 +161,42 @@ def _based(docs: DataFrame, keep: list[Column], text: str) -> DataFrame:
     return stored(rows.mapInArrow(find, schema), "spans")
 
 
+def _admitted(terms: DataFrame) -> np.ndarray:
+    """The bit map, as booleans, that admits all of the terms and whatever shares their slots."""
+    slots = terms.select(F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(SLOTS)).alias("slot")).distinct()
+    admitted = np.zeros(SLOTS, bool)
+    admitted[[int(r[0]) for r in slots.collect()]] = True  # SLOTS values at most
+    return admitted
+
+
+def _counts(docs: DataFrame, text: str, admitted: np.ndarray) -> DataFrame:
+    """(term, n): in how many documents each term with an admitted slot occurs, summed up within tasks."""
+    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(admitted))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(sent.value).view(bool)
+        counts: dict[str, int] = {}  # 0 for a term whose slot is not admitted
+
+        def summed() -> pa.RecordBatch:
+            found = [(t, n) for t, n in counts.items() if n]
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], names=["term", "n"])
+
+        for batch in sliced(batches):
+            for value in batch.column(0):
+                for term in {word.lower() for word in TERM.findall(value.as_py() or "")}:
+                    n = counts.get(term)
+                    if n is None:
+                        counts[term] = int(bits[slot(term)])
+                    elif n:
+                        counts[term] = n + 1
+                if len(counts) >= REMEMBERED:
+                    yield summed()
+        yield summed()
+
+    return docs.select(F.col(text).alias("__text")).mapInArrow(count, "term string, n bigint")
+
+
 def _hits(docs: DataFrame, keep: list[Column], text: str, admitted: np.ndarray) -> DataFrame:
     """(kept columns, term, start, stop): every occurrence of a term whose slot is admitted."""
     sent = docs.sparkSession.sparkContext.broadcast(np.packbits(admitted))
@@ -173,7 +211,7 @@ def _hits(docs: DataFrame, keep: list[Column], text: str, admitted: np.ndarray)
 
         def admits(term: str) -> bool:
             if term not in known:
-                if len(known) >= 1 << 18:
+                if len(known) >= REMEMBERED:
                     known.clear()
                 known[term] = bool(bits[slot(term)])
             return known[term]
@@ -194,12 +232,12 @@ def _hits(docs: DataFrame, keep: list[Column], text: str, admitted: np.ndarray)
     return rows.mapInArrow(find, f"{kinds}, term string, start int, stop int")
 
 
-def disclosing(based: DataFrame, hits: DataFrame, total: int, support: int = SUPPORT, at_least: float = GENERALISE_AT) -> DataFrame:
+def disclosing(based: DataFrame, counts: DataFrame, total: int, at_least: float = GENERALISE_AT) -> DataFrame:
     """(term, disclosure): the terms that reveal some entity, with the highest PMI / IC over entities."""
     pairs = based.select("t1", "t2", F.explode("pairs").alias("p")).select("t1", "t2", "p.entity", "p.term")
     together = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"))
     alone = based.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = hits.groupBy("term").agg(F.sum("n").alias("n_term"))
+    terms = counts.groupBy("term").agg(F.sum("n").alias("n_term"))
     pmi = F.log(F.col("both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
     strength = pmi / F.log(F.lit(float(total)) / F.col("n_entity"))
     return (
@@ -218,18 +256,16 @@ def candidates(based: DataFrame, support: int = SUPPORT) -> DataFrame:
 def found(docs: DataFrame, keep: list[Column], text: str = "text", support: int = SUPPORT, remove_at: float = REMOVE_AT,
           generalise_at: float = GENERALISE_AT) -> DataFrame:
     """The kept columns and ``base`` and ``terms``: spans of fixed form, and (kind, start, stop, value) of disclosing
-    terms, kind ``term_removed`` or ``term_general``. Two passes over the texts; no text is shuffled."""
+    terms, kind ``term_removed`` or ``term_general``. Three passes over the texts: entities and what is near, document counts of the
+    candidates, and where disclosing terms occur; candidates' occurrences are never kept. No text is shuffled."""
     based = _based(docs, [*keep, *row_key(docs)], text)
     named = stored(candidates(based, support), "terms")
-    slots = named.select(F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(SLOTS)).alias("slot")).distinct()
-    admitted = np.zeros(SLOTS, bool)
-    admitted[[int(r[0]) for r in slots.collect()]] = True  # SLOTS values at most
-    hits = stored(_hits(docs, row_key(docs), text, admitted).join(named, "term"), "hits")
+    counts = _counts(docs, text, _admitted(named)).groupBy("term").agg(F.sum("n").alias("n")).join(named, "term")
+    strong = stored(disclosing(based, counts, docs.count(), generalise_at), "terms")
+    hits = stored(_hits(docs, row_key(docs), text, _admitted(strong)).join(strong, "term"), "hits")
 
-    per_row = hits.select("__k1", "__k2", "term").distinct().groupBy("term").agg(F.count("*").alias("n"))
-    strong = disclosing(based, per_row, docs.count(), support, generalise_at)
     kind = F.when(F.col("disclosure") >= remove_at, "term_removed").otherwise("term_general")
-    spans = hits.join(strong, "term").select("__k1", "__k2", F.struct(kind.alias("kind"), "start", "stop", F.col("term").alias("value")).alias("span"))
+    spans = hits.select("__k1", "__k2", F.struct(kind.alias("kind"), "start", "stop", F.col("term").alias("value")).alias("span"))
     by_row = spans.distinct().groupBy("__k1", "__k2").agg(F.array_sort(F.collect_list("span")).alias("terms"))
     joined = based.join(by_row, ["__k1", "__k2"], "left")
     empty = F.array().cast(f"array<{SPAN}>")

@@ -11,17 +11,13 @@ from __future__ import annotations
 
 import json
 import math
-import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stillhouse.functions.once import with_once
 
-# Places to look for JSON in an answer, in order.
-FENCED_JSON = re.compile(r"```(?:json)?\s*\n?(.*?)\n?\s*```", re.DOTALL)
-ANY_ARRAY = re.compile(r"(\[.*\])", re.DOTALL)
-ANY_OBJECT = re.compile(r"(\{.*\})", re.DOTALL)
+FENCE = "```"
 
 
 def strict_json(text: Column) -> Column:
@@ -34,16 +30,31 @@ def strict_json(text: Column) -> Column:
     return F.when(consumed, F.try_variant_get(pair, "$[0]", "variant"))
 
 
+def _between(text: str, first: str, last: str) -> tuple[int, str] | None:
+    """Where the first opening bracket stands, and the text from it to the last closing one."""
+    start, stop = text.find(first), text.rfind(last)
+    return (start, text[start:stop + 1]) if 0 <= start < stop else None
+
+
+def _fenced(text: str) -> str | None:
+    """What the first fence encloses, without its ``json`` tag. One look for each fence, so time is linear."""
+    start = text.find(FENCE)
+    stop = text.find(FENCE, start + len(FENCE)) if start >= 0 else -1
+    return text[start + len(FENCE):stop].removeprefix("json").strip() if stop >= 0 else None
+
+
 def _candidates(text: str, outermost_first: bool):
+    """Fixed order of the places to look: the whole answer, its first fence, an array, an object."""
     yield "whole", text.strip()
-    fenced = FENCED_JSON.search(text)
-    if fenced:
-        yield "fenced", fenced.group(1).strip()
-    found = [(name, m) for name, m in (("array", ANY_ARRAY.search(text)), ("object", ANY_OBJECT.search(text))) if m]
+    fenced = _fenced(text)
+    if fenced is not None:
+        yield "fenced", fenced
+    spans = {"array": _between(text, "[", "]"), "object": _between(text, "{", "}")}
+    found = [(name, span) for name, span in spans.items() if span]
     if outermost_first:
-        found.sort(key=lambda pair: pair[1].start())
-    for name, m in found:
-        yield name, m.group(1)
+        found.sort(key=lambda pair: pair[1][0])
+    for name, (_, span) in found:
+        yield name, span
 
 
 def find_json(text: str | None, outermost_first: bool = False):
@@ -53,7 +64,7 @@ def find_json(text: str | None, outermost_first: bool = False):
     for path, candidate in _candidates(text, outermost_first):
         try:
             return json.loads(candidate), path
-        except ValueError:
+        except (ValueError, RecursionError):  # brackets nested beyond Python's depth count as no JSON
             continue
     return None, None
 
@@ -83,7 +94,10 @@ _FOUND_ARROW = pa.struct([("text", pa.string()), ("path", pa.string())])
 def _find_many(outermost_first: bool):
     def one(text):
         value, path = find_json(text, outermost_first)
-        return None if value is None else {"text": _portable(value), "path": path}
+        try:
+            return None if value is None else {"text": _portable(value), "path": path}
+        except RecursionError:
+            return None
 
     @F.arrow_udf(_FOUND)
     def find(texts: pa.Array) -> pa.Array:

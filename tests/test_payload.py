@@ -1,7 +1,9 @@
 """JSON in answers: strictness, where it is found, typed reading."""
 
 import json
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from stillhouse.functions.payload import find_json, json_text, python_spelling, strict_json, with_payload
@@ -61,3 +63,19 @@ def test_not_a_number_is_a_number(spark):
     rows = spark.createDataFrame([('{"a": NaN, "b": 1}',)], "t string")
     got = with_payload(rows, "t").select(F.try_variant_get("payload.doc", "$.a", "double")).first()[0]
     assert got == float("inf")
+
+
+def test_search_is_linear_and_survives_deep_nesting():
+    started = time.perf_counter()
+    assert find_json("[" * 200_000 + "]" * 200_000) == (None, None)
+    assert find_json("```json" + " " * 200_000 + "x") == (None, None)
+    assert find_json("```json\n" + " " * 200_000 + '{"a": 1}```') == ({"a": 1}, "fenced")
+    assert time.perf_counter() - started < 1
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("````[1]```", ([1], "array")), ("] [2] {", ([2], "array")), ("``` json\n[3]```", ([3], "array")), ("```json```", (None, None)),
+    ('```{"a": [4]}``` ```[5]```', ({"a": [4]}, "fenced")), ("```[6]", ([6], "array")),
+])
+def test_places_to_look(text, expected):
+    assert find_json(text) == expected

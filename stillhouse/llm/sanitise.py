@@ -6,10 +6,11 @@ PMI = log(p(c, t) / (p(c) p(t))) and IC = -log p(c), over documents. It is 1 if
 independent. Terms at or above ``remove_at`` are removed and those at or above ``generalise_at`` are
 replaced by a general word, wherever they occur.
 
-Candidate terms are the words of four letters or more near an entity (``NEAR`` words on either side) in at
-least ``support`` distinct texts. Their frequencies are counted over all documents in a second pass, and a third
-one finds the disclosing terms. For both, tasks get a bit map of fixed size (``SLOTS`` bits) that admits all
-wanted terms; exact joins follow.
+A term is a word of any length, anywhere in the text: all counts are of whole documents. Candidates are the terms
+that share at least ``support`` distinct texts with one entity, outside spans of fixed form; entities in fewer texts
+make no candidates. Pairs are summed up within tasks, over the words of texts that hold entities. The frequencies of candidates
+are counted over all documents in a second pass, and a third one finds the disclosing terms. For these, tasks get a bit
+map of fixed size (``SLOTS`` bits) that admits all that is wanted; exact joins follow.
 
 Defined results: null text is empty; copies of a text count as documents but as one text for the
 support; a row that repeats another one gets equal spans; ties cannot arise, as thresholds are inclusive; an
@@ -38,13 +39,13 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TERM = re.compile(r"[^\W\d_]{4,}")
-NEAR = 5
+TERM = re.compile(r"[^\W\d_]+")
 SUPPORT = 3
 REMOVE_AT = 0.9
 GENERALISE_AT = 0.7
 SLOTS = 1 << 20
 REMEMBERED = 1 << 18
+PAIRS_REMEMBERED = 1 << 17
 SPAN = "struct<kind string, start int, stop int, value string>"
 
 
@@ -92,44 +93,18 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:" + (value.lower() if kind == "email" else re.sub(r"[^0-9.]" if kind == "ip" else r"[^0-9]", "", value))
 
 
-def neighbours(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) -> list[tuple[str, str]]:
-    """Distinct (entity, term) for the terms within ``near`` words of a span, in no span themselves."""
+def document_terms(text: str, spans: list[tuple[str, int, int]]) -> tuple[list[str], list[str]]:
+    """The distinct terms of a text: those that start outside of all spans somewhere, and the others."""
     taken = np.zeros(len(text) + 1, bool)
     for _, a, b in spans:
         taken[a:b] = True
-    pairs = set()
-    for kind, a, b in spans:
-        name = entity(kind, text[a:b])
-        # White space runs bound the words; the pieces are short, as they hold a few words.
-        left = re.finditer(TERM, text[_back(text, a, near):a])
-        offset = _back(text, a, near)
-        for m in left:
-            if not taken[offset + m.start()]:
-                pairs.add((name, m[0].lower()))
-        stop = _ahead(text, b, near)
-        for m in TERM.finditer(text, b, stop):
-            if not taken[m.start()]:
-                pairs.add((name, m[0].lower()))
-    return sorted(pairs)
-
-
-def _back(text: str, at: int, words: int) -> int:
-    """Where the ``words`` words before a position begin."""
-    for _ in range(words):
-        while at > 0 and text[at - 1].isspace():
-            at -= 1
-        while at > 0 and not text[at - 1].isspace():
-            at -= 1
-    return at
-
-
-def _ahead(text: str, at: int, words: int) -> int:
-    for _ in range(words):
-        while at < len(text) and text[at].isspace():
-            at += 1
-        while at < len(text) and not text[at].isspace():
-            at += 1
-    return at
+    every, outside = set(), set()
+    for m in TERM.finditer(text):
+        term = m[0].lower()
+        every.add(term)
+        if not taken[m.start()]:
+            outside.add(term)
+    return sorted(outside), sorted(every - outside)
 
 
 def slot(term: str) -> int:
@@ -137,33 +112,34 @@ def slot(term: str) -> int:
 
 
 def _based(docs: DataFrame, keep: list[Column], text: str) -> DataFrame:
-    """The kept columns, two hashes of the text, base spans, and (entity, term) pairs near them."""
+    """The kept columns, two hashes of the text, base spans, and the terms of texts that have any."""
     rows = docs.select(*keep, F.xxhash64(F.col(text)).alias("t1"), F.xxhash64(F.lit(1), F.col(text)).alias("t2"), F.col(text).alias("__text"))
 
     names = [c for c in rows.columns if c != "__text"]
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("value", pa.string())])
-    pair = pa.struct([("entity", pa.string()), ("term", pa.string())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            base, entities, pairs = [], [], []
+            base, entities, outside, inside = [], [], [], []
             for value in batch.column(len(names)):
                 text = value.as_py()
                 spans = base_spans(text)
                 base.append([{"kind": k, "start": a, "stop": b, "value": text[a:b]} for k, a, b in spans])
                 entities.append(sorted({entity(k, text[a:b]) for k, a, b in spans}))
-                pairs.append([{"entity": e, "term": t} for e, t in neighbours(text, spans)] if spans else [])
-            made = [pa.array(base, pa.list_(span)), pa.array(entities, pa.list_(pa.string())), pa.array(pairs, pa.list_(pair))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*names, "base", "entities", "pairs"])
+                out, rest = document_terms(text, spans) if spans else ([], [])
+                outside.append(out)
+                inside.append(rest)
+            made = [pa.array(base, pa.list_(span)), *[pa.array(x, pa.list_(pa.string())) for x in (entities, outside, inside)]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*names, "base", "entities", "outside", "inside"])
 
-    schema = f"{kinds}, base array<{SPAN}>, entities array<string>, pairs array<struct<entity string, term string>>"
+    schema = f"{kinds}, base array<{SPAN}>, entities array<string>, outside array<string>, inside array<string>"
     return stored(rows.mapInArrow(find, schema), "spans")
 
 
-def _admitted(terms: DataFrame) -> np.ndarray:
-    """The bit map, as booleans, that admits all of the terms and whatever shares their slots."""
-    slots = terms.select(F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(SLOTS)).alias("slot")).distinct()
+def _admitted(wanted: DataFrame, name: str = "term") -> np.ndarray:
+    """The bit map, as booleans, that admits all of the values of a column and whatever shares their slots."""
+    slots = wanted.select(F.pmod(F.crc32(F.col(name).cast("binary")), F.lit(SLOTS)).alias("slot")).distinct()
     admitted = np.zeros(SLOTS, bool)
     admitted[[int(r[0]) for r in slots.collect()]] = True  # SLOTS values at most
     return admitted
@@ -232,36 +208,77 @@ def _hits(docs: DataFrame, keep: list[Column], text: str, admitted: np.ndarray)
     return rows.mapInArrow(find, f"{kinds}, term string, start int, stop int")
 
 
-def disclosing(based: DataFrame, counts: DataFrame, total: int, at_least: float = GENERALISE_AT) -> DataFrame:
+def _texts(based: DataFrame) -> DataFrame:
+    """One row per distinct text that holds entities: how many documents have it, its entities and its terms."""
+    named = based.filter(F.size("entities") > 0).groupBy("t1", "t2")
+    return stored(named.agg(F.count("*").alias("times"), *[F.first(c).alias(c) for c in ("entities", "outside", "inside")]), "texts")
+
+
+def _together(texts: DataFrame, entities: np.ndarray | None = None, terms: np.ndarray | None = None) -> DataFrame:
+    """(entity, term, both, texts): documents that hold both, and distinct texts with the term outside of spans,
+    for admitted entities and terms, summed up within tasks first."""
+    sent = texts.sparkSession.sparkContext.broadcast([None if bits is None else np.packbits(bits) for bits in (entities, terms)])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_entities, of_terms = [None if bits is None else np.unpackbits(bits).view(bool) for bits in sent.value]
+        sums: dict[tuple[str, str], list[int]] = {}
+
+        def admitted(values, bits):
+            return values if bits is None else [v for v in values if bits[slot(v)]]
+
+        def summed() -> pa.RecordBatch:
+            pairs, counts = list(sums), list(sums.values())
+            sums.clear()
+            made = [pa.array([p[i] for p in pairs], pa.string()) for i in (0, 1)] + [pa.array([c[i] for c in counts], pa.int64()) for i in (0, 1)]
+            return pa.RecordBatch.from_arrays(made, names=["entity", "term", "both", "texts"])
+
+        for batch in sliced(batches):
+            for times, names, *terms in zip(*[(v.as_py() for v in column) for column in batch.columns]):
+                names = admitted(names, of_entities)
+                for one, found in zip((1, 0), [admitted(t, of_terms) for t in terms] if names else []):
+                    for name in names:
+                        for term in found:
+                            n = sums.setdefault((name, term), [0, 0])
+                            n[0] += times
+                            n[1] += one
+                        if len(sums) >= PAIRS_REMEMBERED:
+                            yield summed()
+        yield summed()
+
+    rows = texts.select("times", "entities", "outside", "inside").mapInArrow(count, "entity string, term string, both bigint, texts bigint")
+    return rows.groupBy("entity", "term").agg(F.sum("both").alias("both"), F.sum("texts").alias("texts"))
+
+
+def disclosing(texts: DataFrame, counts: DataFrame, total: int, at_least: float = GENERALISE_AT) -> DataFrame:
     """(term, disclosure): the terms that reveal some entity, with the highest PMI / IC over entities."""
-    pairs = based.select("t1", "t2", F.explode("pairs").alias("p")).select("t1", "t2", "p.entity", "p.term")
-    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"))
-    alone = based.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = counts.groupBy("term").agg(F.sum("n").alias("n_term"))
-    pmi = F.log(F.col("both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
+    together = _together(texts, terms=_admitted(counts))
+    alone = texts.select(F.explode("entities").alias("entity"), "times").groupBy("entity").agg(F.sum("times").alias("n_entity"))
+    pmi = F.log(F.col("both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n")))
     strength = pmi / F.log(F.lit(float(total)) / F.col("n_entity"))
     return (
-        together.join(terms, "term").join(alone, "entity")
-        .filter(F.col("n_entity") < total).groupBy("term").agg(F.max(strength).alias("disclosure"))
+        together.join(counts, "term").join(alone, "entity")
+        .filter((F.col("n_entity") < total) & (F.col("texts") > 0)).groupBy("term").agg(F.max(strength).alias("disclosure"))
         .filter(F.col("disclosure") >= at_least)
     )
 
 
-def candidates(based: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """Terms near one entity in at least ``support`` distinct texts."""
-    pairs = based.select("t1", "t2", F.explode("pairs").alias("p")).select("t1", "t2", "p.entity", "p.term").distinct()
-    return pairs.groupBy("entity", "term").agg(F.count("*").alias("texts")).filter(F.col("texts") >= support).select("term").distinct()
+def candidates(texts: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """Terms that share at least ``support`` distinct texts with one entity."""
+    names = texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("texts"))
+    often = _admitted(names.filter(F.col("texts") >= support), "entity")
+    return _together(texts, entities=often).filter(F.col("texts") >= support).select("term").distinct()
 
 
 def found(docs: DataFrame, keep: list[Column], text: str = "text", support: int = SUPPORT, remove_at: float = REMOVE_AT,
           generalise_at: float = GENERALISE_AT) -> DataFrame:
     """The kept columns and ``base`` and ``terms``: spans of fixed form, and (kind, start, stop, value) of disclosing
-    terms, kind ``term_removed`` or ``term_general``. Three passes over the texts: entities and what is near, document counts of the
+    terms, kind ``term_removed`` or ``term_general``. Three passes over the texts: entities and the terms beside them, document counts of the
     candidates, and where disclosing terms occur; candidates' occurrences are never kept. No text is shuffled."""
     based = _based(docs, [*keep, *row_key(docs)], text)
-    named = stored(candidates(based, support), "terms")
+    texts = _texts(based)
+    named = stored(candidates(texts, support), "terms")
     counts = _counts(docs, text, _admitted(named)).groupBy("term").agg(F.sum("n").alias("n")).join(named, "term")
-    strong = stored(disclosing(based, counts, docs.count(), generalise_at), "terms")
+    strong = stored(disclosing(texts, stored(counts, "counts"), docs.count(), generalise_at), "terms")
     hits = stored(_hits(docs, row_key(docs), text, _admitted(strong)).join(strong, "term"), "hits")
 
     kind = F.when(F.col("disclosure") >= remove_at, "term_removed").otherwise("term_general")
@@ -269,7 +286,7 @@ def found(docs: DataFrame, keep: list[Column], text: str = "text", support: int
     by_row = spans.distinct().groupBy("__k1", "__k2").agg(F.array_sort(F.collect_list("span")).alias("terms"))
     joined = based.join(by_row, ["__k1", "__k2"], "left")
     empty = F.array().cast(f"array<{SPAN}>")
-    return joined.withColumn("terms", F.coalesce("terms", empty)).drop("t1", "t2", "entities", "pairs")
+    return joined.withColumn("terms", F.coalesce("terms", empty)).drop("t1", "t2", "entities", "outside", "inside")
 
 
 @F.pandas_udf(StringType())

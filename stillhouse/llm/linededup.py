@@ -10,8 +10,9 @@ frequent line; only lines that this leaves unlinked are compared with all others
 bounded size, so that a bucket of thousands of variants costs its size, and no link is lost to a cap.
 Which texts a task must send for verification is told by a bit map of fixed size; exact joins follow.
 
-Defined results: null text stays null; lines of fewer than ``MIN_WORDS`` words or ``WIDTH`` characters are never
-removed; identical rows are one document, so they keep the same lines; null ids come last; an empty table stays
+Defined results: null text stays null; every line with a word is compared, whatever its language and number of
+words; lines of fewer than ``WIDTH`` characters have no shingles and are alike if they are equal; blank lines
+are never removed; identical rows are one document, so they keep the same lines; null ids come last; an empty table stays
 empty; all lines of a very long text are compared. Line ids are 64-bit hashes. Other columns are kept.
 """
 
@@ -33,7 +34,6 @@ WIDTH = 8
 ROWS = 4
 BANDS = 8
 SIMILARITY = 0.8
-MIN_WORDS = 5
 BLOCK = 256
 CHARS_AT_ONCE = 1 << 20
 SLOT_BITS = 24
@@ -43,10 +43,8 @@ PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9],
 
 
 def normal(line: str) -> bytes | None:
-    """The normalised line, or None for one that is too short to be compared."""
-    words = line.encode().lower().split()
-    whole = b" ".join(words)
-    return whole if len(words) >= MIN_WORDS and len(whole.decode()) >= WIDTH else None
+    """The normalised line, or None for a blank one."""
+    return b" ".join(line.encode().lower().split()) or None
 
 
 def mark(line: bytes) -> int:
@@ -103,7 +101,7 @@ def alike(a: set[str], b: set[str], least: float = SIMILARITY) -> bool:
 
 def _occurrences(docs: DataFrame, record: str, text: str) -> DataFrame:
     """(record, k1, k2, pos, mark, n, keys): one row per line. A batch gives a line's keys once, with its
-    number of occurrences there; otherwise they are null."""
+    number of occurrences there; otherwise, and for lines too short for shingles, they are null."""
     rows = docs.select(F.col(record).alias("record"), *row_key(docs), F.col(text).alias("text"))
     kind = rows.schema["record"].dataType.simpleString()
     schema = f"record {kind}, __k1 bigint, __k2 bigint, pos int, mark bigint, n int, keys array<bigint>"
@@ -118,9 +116,11 @@ def _occurrences(docs: DataFrame, record: str, text: str) -> DataFrame:
                         continue
                     found = mark(whole)
                     here = first.get(found)
-                    if here is None:
+                    if here is None and len(chars := whole.decode()) < WIDTH:
+                        times.append(None)
+                    elif here is None:
                         first[found] = len(marks)
-                        lines.append(whole.decode())
+                        lines.append(chars)
                         times.append(1)
                     else:
                         times[here] += 1

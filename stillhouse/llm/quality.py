@@ -2,10 +2,9 @@
 
 Lines are normalised (A-Z lowered, white space runs to one blank) and hashed; a line's count is the number
 of distinct texts of its host that hold it, so exact copies count once. A line is above the limit
-if more than max(``min_docs``, ``share`` of the host's distinct texts) hold it. Such lines are removed
-from every text but the first that holds them (smallest record id), so that what many documents
-share stays in one of them. A document is depleted, and rejected, if fewer than ``min_words`` words or
-less than ``min_left`` of its words are left.
+if more than ``min_docs`` of them hold it, however large the host is. Such lines are removed from every text but
+the first that holds them (smallest record id), so that what many documents share stays in one of them. A document
+is depleted, and rejected, if fewer than ``min_words`` words or less than ``min_left`` of its words are left.
 
 Defined results: null text has no words and fails the base rules; a null host is a host of its own; lines without
 words are never counted or removed; rows that repeat a text within a host share its verdict, and all of
@@ -32,7 +31,6 @@ WINDOW = 8
 MIN_WORDS = 20
 MOST_REPEATED = 30  # percent of the words
 MIN_DOCS = 10
-SHARE = 0.05
 MIN_LEFT = 1 / 3
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -106,20 +104,18 @@ def _measured(docs: DataFrame, record: str, text: str, host: str) -> DataFrame:
     return stored(rows.mapInArrow(each, schema), "quality")
 
 
-def _removals(measured: DataFrame, min_docs: int, share: float) -> DataFrame:
-    """(host, t1, t2, mark, words): every line above its host's limit in every text but its first holder."""
+def _removals(measured: DataFrame, min_docs: int) -> DataFrame:
+    """(host, t1, t2, mark, words): every line above the limit in every text but its first holder."""
     place = F.struct(F.col("record").isNull().alias("last"), "record", "t1", "t2")
     texts = stored(
         measured.groupBy("host", "t1", "t2")
         .agg(F.min(place).alias("place"), F.first(F.arrays_zip("marks", "sizes")).alias("lines")), "texts",
     )
-    limits = texts.groupBy("host").agg(F.greatest(F.lit(float(min_docs)), F.count("*") * F.lit(share)).alias("limit"))
     held = texts.select("host", "t1", "t2", "place", F.explode("lines").alias("line")).select(
         "host", "t1", "t2", "place", F.col("line.marks").alias("mark"), F.col("line.sizes").alias("words")
     )
     counted = held.groupBy("host", "mark").agg(F.count("*").alias("docs"), F.min("place").alias("first"))
-    common = counted.filter(F.col("docs") > min_docs).join(limits, "host").filter("docs > limit")
-    common = common.select("host", "mark", F.col("first.t1").alias("f1"), F.col("first.t2").alias("f2"))
+    common = counted.filter(F.col("docs") > min_docs).select("host", "mark", F.col("first.t1").alias("f1"), F.col("first.t2").alias("f2"))
     return (
         held.drop("place").join(common, ["host", "mark"])
         .filter("t1 <> f1 OR t2 <> f2").select("host", "t1", "t2", "mark", "words")
@@ -127,10 +123,10 @@ def _removals(measured: DataFrame, min_docs: int, share: float) -> DataFrame:
 
 
 def verdicts(docs: DataFrame, record: str = "doc_id", text: str = "text", host: str = "source", min_words: int = MIN_WORDS,
-             min_docs: int = MIN_DOCS, share: float = SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+             min_docs: int = MIN_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """One row per document: record, host, t1, t2, base counts, base_failed, words_removed, marks_removed, kept."""
     measured = _measured(docs, record, text, host)
-    gone = _removals(measured, min_docs, share).groupBy("host", "t1", "t2").agg(
+    gone = _removals(measured, min_docs).groupBy("host", "t1", "t2").agg(
         F.sum("words").alias("words_removed"), F.collect_list("mark").alias("marks_removed")
     )
     failed = (F.col("n_words") < min_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(MOST_REPEATED) * F.col("n_words"))

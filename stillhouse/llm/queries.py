@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from stillhouse.llm import fingerprints, languages, licenses, linededup, mixing, packing, quality, sanitise, simhash, toolcalls
+from stillhouse.llm import fingerprints, languages, licenses, linededup, mixing, packing, periods, quality, sanitise, simhash, toolcalls
 from stillhouse.llm.common import documents, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,10 +120,24 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", periods.made_periodic(F.col("doc_id"), F.col("text")).alias("text"))
+    best = periods.steepest(F.col("runs"))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    found = periods.with_runs(docs).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+        F.sha2(F.concat(listed, F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    return stored(found, "runs").select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_source_mix, op2_sanitised_terms, op3_license_scan, op4_line_dedup, op5_language_backoff, op6_tool_calls,
-        op7_one_permutation_minhash, op8_simhash_groups, op9_quality_rules, op10_best_fit_packing,
+        op7_one_permutation_minhash, op8_simhash_groups, op9_quality_rules, op10_best_fit_packing, op12_periodic_runs,
     )
 }
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from stillhouse.llm import fingerprints, languages, licenses, linededup, mixing, packing, periods, quality, sanitise, simhash, toolcalls
+from stillhouse.llm import fingerprints, languages, licenses, linededup, mixing, packing, periods, quality, sanitise, simhash, toolcalls, vectors
 from stillhouse.llm.common import documents, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,10 +134,18 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
+
+
+def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(embeddings(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_source_mix, op2_sanitised_terms, op3_license_scan, op4_line_dedup, op5_language_backoff, op6_tool_calls,
-        op7_one_permutation_minhash, op8_simhash_groups, op9_quality_rules, op10_best_fit_packing, op12_periodic_runs,
+        op7_one_permutation_minhash, op8_simhash_groups, op9_quality_rules, op10_best_fit_packing, op12_periodic_runs, op13_near_vectors,
     )
 }
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from stillhouse.llm import fingerprints, languages, licenses, linededup, mixing, packing, periods, quality, sanitise, simhash, toolcalls, vectors
+from stillhouse.llm import fingerprints, languages, licenses, linededup, mixing, negatives, packing, periods, quality, sanitise, simhash, toolcalls, vectors
 from stillhouse.llm.common import documents, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,6 +138,11 @@ def embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(embeddings(spark, folder).withColumn("label", label))
+
+
 def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(embeddings(spark, folder))
 
@@ -145,7 +150,7 @@ def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_source_mix, op2_sanitised_terms, op3_license_scan, op4_line_dedup, op5_language_backoff, op6_tool_calls,
-        op7_one_permutation_minhash, op8_simhash_groups, op9_quality_rules, op10_best_fit_packing, op12_periodic_runs, op13_near_vectors,
+        op7_one_permutation_minhash, op8_simhash_groups, op9_quality_rules, op10_best_fit_packing, op11_hard_negatives, op12_periodic_runs, op13_near_vectors,
     )
 }
 
@@ -219,4 +224,35 @@ SELECT conv_id, CASE WHEN answers THEN earlier ELSE turn END AS at, CAST(CASE WH
        ELSE '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' END AS json
 FROM ided"""
 
-ORACLES: dict[str, str] = {"op1_source_mix": MIX_SQL, "op3_license_scan": LICENSE_SQL, "op6_tool_calls": CHAT_SQL}
+NEGATIVES_SQL = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.e, r.e) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id AND len(a.e) = len(r.e)
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5"""
+
+NEAR_VECTORS_SQL = """WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98::DOUBLE
+), reached(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+lowest AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN lowest l ON l.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id"""
+
+ORACLES: dict[str, str] = {
+    "op1_source_mix": MIX_SQL, "op3_license_scan": LICENSE_SQL, "op6_tool_calls": CHAT_SQL,
+    "op11_hard_negatives": NEGATIVES_SQL, "op13_near_vectors": NEAR_VECTORS_SQL,
+}

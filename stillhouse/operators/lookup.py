@@ -1,23 +1,18 @@
-"""Joining rows to a table that should be small, with its size checked first."""
+"""Joining rows to an aggregate that is narrow and usually small."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-LOOKUP_ROWS = 100_000
+from stillhouse.sources.workspace import written
 
 
-def lookup(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left", limit: int = LOOKUP_ROWS) -> DataFrame:
-    """Join on null-safe keys; the table is broadcast only if it has at most ``limit`` rows.
+def lookup(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join on null-safe keys to a table with one narrow row per key.
 
-    The table (an aggregate with one narrow row per key) is evaluated once, here. Beyond the
-    limit it stays distributed and the join is an ordinary one.
+    The table is computed once and written, so its bytes are known: Spark broadcasts it below its own
+    threshold and otherwise joins by sorting, where adaptive execution splits the partitions of hot keys.
     """
-    spark = rows.sparkSession
-    head = table.limit(limit + 1).collect()
-    small = len(head) <= limit
-    side = spark.createDataFrame(head, table.schema) if small else table
-    side = side.withColumnsRenamed({k: f"__on_{k}" for k in on})
+    side = written(table, "lookup").withColumnsRenamed({k: f"__on_{k}" for k in on})
     condition = [F.col(k).eqNullSafe(F.col(f"__on_{k}")) for k in on]
-    joined = rows.join(F.broadcast(side) if small else side, condition, how)
-    return joined.drop(*[f"__on_{k}" for k in on])
+    return rows.join(side, condition, how).drop(*[f"__on_{k}" for k in on])

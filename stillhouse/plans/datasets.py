@@ -12,6 +12,7 @@ from stillhouse.operators.lexicon import ROUTING, with_keyword_label
 from stillhouse.operators.pii import PATTERNS, detect, redact
 from stillhouse.operators.splitting import check_split, head, split_exactly, spot_check, sufficiency, test_size
 from stillhouse.operators.student import answer, fit_student
+from stillhouse.operators.texts import canonical, distinct_inputs, label_distinct_to_table, leakage, leaked_texts, split_by_group
 from stillhouse.operators.language import LATIN_ORDER, LETTERS, WORDS
 from stillhouse.plans.answers import DEGENERATE_SQL
 from stillhouse.plans.build import build_dataset, judged_table, written_records
@@ -174,7 +175,7 @@ WITH texts AS (SELECT doc_id AS id, text FROM documents), hits AS ({_spans_sql()
 firsts AS (SELECT id, kind_no, type, entity, min(place) AS place FROM hits GROUP BY id, kind_no, type, entity)
 SELECT id AS doc_id, row_number() OVER (PARTITION BY id ORDER BY kind_no, place) - 1 AS position, entity, type FROM firsts""")
 def pii_spans(t):
-    return detect(t.spread("documents"), "doc_id", "text")
+    return detect(t.documents, "doc_id", "text")
 
 
 @registered("pii_spans_of_answers", f"""
@@ -194,7 +195,7 @@ def pii_spans_of_answers(t):
 
 @registered("redacted_documents", f"SELECT doc_id, md5({_redacted_sql('text', _SQL_NAMES)}) AS redacted FROM documents")
 def redacted_documents(t):
-    return t.spread("documents").select("doc_id", F.md5(redact(F.col("text"))).alias("redacted"))
+    return t.documents.select("doc_id", F.md5(redact(F.col("text"))).alias("redacted"))
 
 
 def _language_sql() -> str:
@@ -241,7 +242,7 @@ LANGUAGE_LABELS = _language_sql()
 
 @registered("language_labels", f"WITH {LANGUAGE_LABELS} SELECT id AS doc_id, response AS language FROM language")
 def language_labels(t):
-    return with_language(t.spread("documents").select("doc_id", "text"), "text", "language").select("doc_id", "language")
+    return with_language(t.documents.select("doc_id", "text"), "text", "language").select("doc_id", "language")
 
 
 def _keyword_sql() -> str:
@@ -266,13 +267,13 @@ def keyword_labels(t):
         F.lit("Our "), "event_type", F.lit(" shows an ERROR; the invoice "), "props", F.lit(" for login "),
         F.col("user_id").cast("string"), ending,
     )
-    return with_keyword_label(t.spread("events").select("event_id", text.alias("text")), "text", ROUTING, "label").select("event_id", "label", "label_score")
+    return with_keyword_label(t.events.select("event_id", text.alias("text")), "text", ROUTING, "label").select("event_id", "label", "label_score")
 
 
 @registered("student_accuracy")
 def student_accuracy(t):
     """Fit on the train split, score the test split, against always answering the commonest label."""
-    split = split_exactly(t.spread("documents").select("doc_id", "text", "lang"), "doc_id", size=0.2)
+    split = split_exactly(t.documents.select("doc_id", "text", "lang"), "doc_id", size=0.2)
     model = fit_student(split.filter("split = 'train'"), "text", "lang")
     test = answer(model, split.filter("split = 'test'"))
     right = (F.col("response") == F.col("lang")).cast("double")
@@ -366,6 +367,91 @@ def sufficiency_by_task(t):
     return sufficiency(all_answers(t), dispatch(ALL_TASKS, F.col("task"), lambda s: F.lit(s.output_format)))
 
 
+# --- splits and leakage by text ----------------------------------------------------------------
+
+NORMAL = "lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))"
+TEXT_SPLIT = f"""weights AS (
+  SELECT lang, md5('42|' || coalesce({NORMAL}, chr(0))) AS key, count(*) AS n FROM documents GROUP BY ALL),
+running AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang ORDER BY key) AS upto, CAST(trunc(sum(n) OVER (PARTITION BY lang) * (1.0::DOUBLE - 0.2::DOUBLE)) AS BIGINT) AS target FROM weights),
+sides AS (
+  SELECT lang, key, CASE WHEN upto <= target OR (upto - n < target AND upto - target < target - (upto - n)) THEN 'train' ELSE 'test' END AS split FROM running),
+split AS (
+  SELECT d.doc_id, d.lang, d.text, s.split FROM documents d JOIN sides s ON d.lang IS NOT DISTINCT FROM s.lang AND s.key = md5('42|' || coalesce({NORMAL}, chr(0))))"""
+RECORD_SPLIT = """split AS (
+  SELECT doc_id, lang, text, CASE WHEN rn <= CAST(trunc(n * (1.0::DOUBLE - 0.2::DOUBLE)) AS BIGINT) THEN 'train' ELSE 'test' END AS split
+  FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5('42|' || doc_id), doc_id) AS rn, count(*) OVER (PARTITION BY lang) AS n FROM documents))"""
+LEAKS = f"""leaks AS (
+  SELECT lang, {NORMAL} AS text, count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'test') AS test FROM split
+  WHERE {NORMAL} <> '' GROUP BY ALL HAVING count(DISTINCT split) = 2)"""
+LEAKAGE = f"""{LEAKS}, leaked AS (SELECT lang, count(*) AS leaked_texts, sum(test)::BIGINT AS leaked_rows FROM leaks GROUP BY lang)
+SELECT s.lang, count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'test') AS test, coalesce(any_value(leaked_texts), 0) AS leaked_texts,
+  coalesce(any_value(leaked_rows), 0) AS leaked_rows, round(coalesce(any_value(leaked_rows), 0) / count(*) FILTER (WHERE split = 'test'), 9) AS share
+FROM split s LEFT JOIN leaked l ON l.lang = s.lang GROUP BY s.lang"""
+
+
+def _split_texts(t):
+    return split_by_group(t.documents.select("doc_id", "lang", "text"), canonical(F.col("text")), ["lang"], size=0.2)
+
+
+def _split_records(t):
+    return split_exactly(t.documents.select("doc_id", "lang", "text"), "doc_id", ["lang"], size=0.2)
+
+
+@registered("split_by_text", f"WITH {TEXT_SPLIT} SELECT doc_id, lang, split FROM split")
+def split_by_text(t):
+    return _split_texts(t).select("doc_id", "lang", "split")
+
+
+@registered("leaked_texts", f"WITH {RECORD_SPLIT}, {LEAKS} SELECT lang, md5(text) AS text, train, test FROM leaks")
+def texts_in_both_splits(t):
+    return leaked_texts(_split_records(t), "text", ["lang"]).withColumn("text", F.md5("text"))
+
+
+@registered("text_leakage", f"WITH {RECORD_SPLIT}, {LEAKAGE}")
+def leakage_of_record_split(t):
+    return leakage(_split_records(t), "text", ["lang"]).withColumn("share", F.round("share", 9))
+
+
+@registered("text_leakage_by_text", f"WITH {TEXT_SPLIT}, {LEAKAGE}")
+def leakage_of_text_split(t):
+    """No text is on both sides of a split by text."""
+    return leakage(_split_texts(t), "text", ["lang"]).withColumn("share", F.round("share", 9))
+
+
+# --- one question per text ---------------------------------------------------------------------
+
+
+def _document_prompts(t):
+    rows = t.documents.select(F.col("doc_id").cast("string").alias("record_id"), F.lit("language").alias("task"), F.col("text").alias("input"))
+    return rows.withColumn("prompt", LANGUAGE.prompt(F.coalesce("input", F.lit(""))))
+
+
+def _make_article_counter():
+    """A stand-in for a model client: English if the prompt's text has more of 'the' than of 'la' and 'der'."""
+    def ask(prompt: str) -> str:
+        words = prompt.split("\nText:\n", 1)[1].lower().split(" ")
+        return "Final Answer: " + ("en" if words.count("the") > words.count("la") + words.count("der") else "ot")
+
+    return ask
+
+
+@registered("distinct_calls", "SELECT 'language' AS task, count(*) AS records, count(DISTINCT coalesce(text, chr(0))) AS calls FROM documents")
+def distinct_calls(t):
+    distinct = distinct_inputs(_document_prompts(t), keep=())
+    return distinct.groupBy("task").agg(F.sum("copies").alias("records"), F.count("*").alias("calls"))
+
+
+@registered("labelled_once", """
+WITH w AS (SELECT doc_id, string_split(lower(text), ' ') AS words FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS record_id, 'Final Answer: ' || CASE WHEN len(list_filter(words, lambda x: x = 'the')) > len(list_filter(words, lambda x: x IN ('la', 'der')))
+  THEN 'en' ELSE 'ot' END AS response FROM w""")
+def labelled_once(t):
+    """Every document labelled, every distinct text asked once."""
+    done = label_distinct_to_table(_document_prompts(t), _make_article_counter, new_folder(t.spark, "responses"), waves=2)
+    return done.select("record_id", "response")
+
+
 # --- the whole path -----------------------------------------------------------------------------
 
 DATASET = f"""WITH {PAIRS}, texts AS (SELECT record_id AS id, output AS text FROM pairs), {DEGENERATE_SQL},

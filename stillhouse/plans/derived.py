@@ -40,7 +40,7 @@ def language_answers(t: Tables) -> DataFrame:
         F.lit("I am not sure"),
         F.lit("Answer:\n" * 5),
     )
-    return t.spread("documents").select(
+    return t.documents.select(
         k.alias("record_id"), F.lit("language").alias("task"), F.lit("teacher").alias("model"),
         response.alias("response"), lang.alias("gold"),
     )
@@ -59,9 +59,9 @@ LANGUAGE_ANSWERS = """language_answers AS (
 
 
 def student_answers(t: Tables) -> DataFrame:
-    """A second model's answers: bare labels, some wrong, some missing."""
+    """A second model's answers: bare labels, some wrong."""
     k = F.col("doc_id")
-    return t.spread("documents").filter(k % 10 != 3).select(
+    return t.documents.select(
         k.alias("record_id"), F.lit("language").alias("task"), F.lit("student").alias("model"),
         F.when(k % 9 == 0, "ot").otherwise(F.col("lang")).alias("response"), F.col("lang").alias("gold"),
     )
@@ -70,7 +70,7 @@ def student_answers(t: Tables) -> DataFrame:
 STUDENT_ANSWERS = """student_answers AS (
   SELECT doc_id AS record_id, 'language' AS task, 'student' AS model, lang AS gold,
     CASE WHEN doc_id % 9 = 0 THEN 'ot' ELSE lang END AS response
-  FROM documents WHERE doc_id % 10 <> 3)"""
+  FROM documents)"""
 
 
 # --- PII: customer ------------------------------------------------------------------------------
@@ -95,7 +95,7 @@ def pii_answers(t: Tables) -> DataFrame:
         _cat("Found: [", first, ", ", first, ", ", second, "]."),
         _cat('[{"entity": "  ', email, ' ", "type": "EMAIL"}, 7, ', second, "]"),
     )
-    return t.spread("customer").select(
+    return t.customer.select(
         k.alias("record_id"), F.lit("pii_detection").alias("task"), F.lit("teacher").alias("model"),
         text.alias("input"), response.alias("response"), plain.alias("gold"),
     )
@@ -144,7 +144,7 @@ def sentiment_answers(t: Tables) -> DataFrame:
         _cat("My answer: ", _sentiment_json(label, "0.75"), " - done"),
         _sentiment_json(label, '"0.9"'),
     )
-    return t.spread("orders").select(
+    return t.orders.select(
         k.alias("record_id"), F.lit("sentiment_aspect").alias("task"), F.lit("teacher").alias("model"),
         response.alias("response"), _sentiment_json(label, "0.8").alias("gold"),
     )
@@ -188,7 +188,7 @@ def receipt_answers(t: Tables) -> DataFrame:
         doc(lines=f'[{item}, {{"name": " ", "price": 1}}, {{"name": "Pen", "price": "2"}}, {{"name": "Ink"}}, 5]', date="null"),
         _cat("The receipt: ", doc(), " ok"),
     )
-    return t.spread("orders").select(
+    return t.orders.select(
         k.alias("record_id"), F.lit("receipt_extraction").alias("task"), F.lit("teacher").alias("model"),
         response.alias("response"), doc(total="4.50").alias("gold"),
     )
@@ -229,7 +229,7 @@ def sql_answers(t: Tables) -> DataFrame:
         F.lit("I cannot answer"),
         _cat("Use a query with one table: SELECT p_name FROM part WHERE p_partkey = ", number),
     )
-    return t.spread("part").select(
+    return t.part.select(
         k.alias("record_id"), F.lit("sql_generation").alias("task"), F.lit("teacher").alias("model"),
         response.alias("response"), statement.alias("gold"),
     )

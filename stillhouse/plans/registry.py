@@ -40,15 +40,6 @@ class Tables:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for work that costs much per row. One that Spark would read in fewer tasks than
-        there are cores (a few files, so at most a few blocks) is dealt out over all of them first."""
-        df = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        few = len(df.inputFiles()) < cores and df.rdd.getNumPartitions() <= cores
-        return df.repartition(cores) if few else df
-
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}

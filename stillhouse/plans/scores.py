@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stillhouse.operators.confusion import confusion_cells, label_report, report_means
 from stillhouse.operators.language import with_language
 from stillhouse.operators.scoring import (
     accuracy, accuracy_with_empty, below_gate, best_checkpoint, compare_models, missing_predictions, pair_with_gold, score,
@@ -47,7 +48,8 @@ def paired_predictions(t):
 @registered("missing_predictions", "SELECT doc_id AS record_id, lang AS gold FROM documents WHERE doc_id % 10 = 3")
 def missing_student_predictions(t):
     gold = language_answers(t).select("record_id", "task", "gold")
-    return missing_predictions(student_answers(t), gold).select("record_id", "gold")
+    # Here, and only here, the student has left out some documents.
+    return missing_predictions(student_answers(t).filter("record_id % 10 <> 3"), gold).select("record_id", "gold")
 
 
 @registered("label_scores", f"""
@@ -145,11 +147,59 @@ WITH {LANGUAGE_LABELS}
 SELECT d.lang, avg((l.response = d.lang)::INT::DOUBLE) AS accuracy, count(*) AS n_examples
 FROM documents d JOIN language l ON l.id = d.doc_id GROUP BY d.lang""")
 def language_accuracy(t):
-    answers = with_language(t.spread("documents").select("doc_id", "text", "lang"), "text", "response")
+    answers = with_language(t.documents.select("doc_id", "text", "lang"), "text", "response")
     rows = answers.select(F.lit("language").alias("task"), "lang", "response", F.col("lang").alias("gold"))
     return accuracy(score(rows, [LANGUAGE]), ["lang"])
 
 
+# --- per label ----------------------------------------------------------------------------------
+
+CELLS = f"""{LANGUAGE_ANSWERS}, {STUDENT_ANSWERS},
+cells AS (
+  SELECT task, model, gold, predicted, count(*) AS n FROM (
+    SELECT task, model, gold, CASE WHEN response LIKE 'Final Answer: %' THEN substr(response, 15)
+      ELSE list_filter({LANGUAGE.labels}, lambda x: contains(lower(response), x))[1] END AS predicted FROM language_answers
+    UNION ALL SELECT task, model, gold, response FROM student_answers)
+  GROUP BY ALL)"""
+REPORT = f"""{CELLS}, groups AS (SELECT DISTINCT task, model FROM cells),
+labels AS (SELECT task, model, unnest({LANGUAGE.labels}) AS label FROM groups),
+report AS (
+  SELECT l.task, l.model, label, coalesce(sum(n) FILTER (WHERE gold = label), 0)::BIGINT AS support,
+    coalesce(sum(n) FILTER (WHERE predicted = label), 0)::BIGINT AS predicted, coalesce(sum(n) FILTER (WHERE gold = label AND predicted = label), 0)::BIGINT AS correct
+  FROM labels l JOIN cells c ON l.task = c.task AND l.model = c.model GROUP BY ALL),
+figures AS (
+  SELECT *, CASE WHEN predicted > 0 THEN correct / predicted ELSE 0 END AS precision, CASE WHEN support > 0 THEN correct / support ELSE 0 END AS recall,
+    CASE WHEN support + predicted > 0 THEN 2 * correct / (support + predicted) ELSE 0 END AS f1 FROM report)"""
+
+
+def _language_cells(t):
+    columns = ["record_id", "task", "model", "response", "gold"]
+    return confusion_cells(language_answers(t).select(columns).unionByName(student_answers(t).select(columns)), [LANGUAGE])
+
+
+@registered("confusion_cells", f"WITH {CELLS} SELECT * FROM cells")
+def language_confusion(t):
+    return _language_cells(t)
+
+
+@registered("label_report", f"""
+WITH {REPORT} SELECT task, model, label, support, predicted, correct, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1 FROM figures""")
+def language_label_report(t):
+    return label_report(_language_cells(t), [LANGUAGE]).withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
+@registered("label_report_means", f"""
+WITH {REPORT}
+SELECT task, model, sum(support)::BIGINT AS n_examples, count(*) FILTER (WHERE support + predicted > 0) AS labels_seen,
+  round(sum(correct) / sum(predicted), 9) AS micro_precision, round(sum(correct) / sum(support), 9) AS micro_recall,
+  round(2 * sum(correct) / (sum(support) + sum(predicted)), 9) AS micro_f1, round(avg(precision) FILTER (WHERE support + predicted > 0), 9) AS macro_precision,
+  round(avg(recall) FILTER (WHERE support + predicted > 0), 9) AS macro_recall, round(avg(f1) FILTER (WHERE support + predicted > 0), 9) AS macro_f1
+FROM figures GROUP BY task, model""")
+def language_report_means(t):
+    means = report_means(label_report(_language_cells(t), [LANGUAGE]))
+    return means.withColumns({c: F.round(c, 9) for c in means.columns if c.startswith(("micro", "macro"))})
+
+
 @registered("best_checkpoints", """
 WITH metrics AS (SELECT event_type AS run, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS step, round(avg(value)) AS accuracy
   FROM events GROUP BY ALL),

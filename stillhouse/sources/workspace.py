@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _fallback: dict[str, str] = {}
@@ -32,3 +32,10 @@ def workspace(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """An unused path below the workspace."""
     return f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the workspace and read back: computed once, with a size Spark knows when it plans joins."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

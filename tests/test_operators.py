@@ -160,13 +160,15 @@ def test_latency_summary(spark):
     assert latency.latency_summary(rows.filter("false"), ["g"]).count() == 0
 
 
-def test_ranks_are_exact_beyond_the_lookup_limit(spark, monkeypatch):
+def test_ranks_are_exact_without_broadcasts(spark):
     rows = spark.range(2000).select((F.col("id") % 50).alias("g"), (F.col("id") * 37 % 2003).cast("double").alias("v"))
     want = sorted(map(tuple, ranks.exact_ranks(rows, ["g"], "v", {"top": (1.0, lambda n: n)}).collect()))
-    import stillhouse.operators.lookup as lookup_module
-
-    monkeypatch.setattr(lookup_module.lookup, "__defaults__", ("left", 3))
-    assert sorted(map(tuple, ranks.exact_ranks(rows, ["g"], "v", {"top": (1.0, lambda n: n)}).collect())) == want
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, ranks.exact_ranks(rows, ["g"], "v", {"top": (1.0, lambda n: n)}).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
 
 
 def test_latency_table(spark):

@@ -14,9 +14,9 @@ BENCHMARK_REQUESTS = 20
 def latency_summary(df: DataFrame, groups: list[str], latency: str = "latency_ms") -> DataFrame:
     """Per group: n, mean, p50 (mean of the middle two) and p95 (sorted[min(int(n * 0.95), n - 1)])."""
     ranks = {
-        "low_mid": (0.5, lambda n: F.floor((n + 1) / F.lit(2.0)).cast("bigint")),
-        "high_mid": (0.5, lambda n: F.floor(n / F.lit(2.0)).cast("bigint") + 1),
-        "p95": (P95, lambda n: F.least((n.cast("double") * F.lit(P95)).cast("bigint") + 1, n)),
+        "low_mid": lambda n: F.floor((n + 1) / F.lit(2.0)).cast("bigint"),
+        "high_mid": lambda n: F.floor(n / F.lit(2.0)).cast("bigint") + 1,
+        "p95": lambda n: F.least((n.cast("double") * F.lit(P95)).cast("bigint") + 1, n),
     }
     stats = exact_ranks(df, groups, latency, ranks)
     return stats.select(

@@ -27,11 +27,26 @@ def label_windows(log: DataFrame, width: str, slide: str | None = None, label: s
     )
 
 
-def label_drift(counts: DataFrame) -> DataFrame:
-    """Adds each label's share of its window and the change since the window it was last seen in."""
-    share = F.col("n") / F.sum("n").over(Window.partitionBy("window_start"))
+def label_drift(counts: DataFrame, step: str, labels: Sequence[str] | None = None) -> DataFrame:
+    """(window_start, window_end, label, n, share, change): one row for every window of the counted span and every label.
+
+    ``step`` is the distance of window starts; ``labels`` are the labels to expect, those that occur if not given (others that occur
+    are added). A label that a window lacks has n and share 0, and the change is that since the window just before, so a
+    label that vanishes shows as a drop. The grid is unfolded from one row of the span, by windows and labels.
+    """
+    named = F.array(*[F.lit(x) for x in labels or []]).cast("array<string>")
+    span = counts.agg(
+        F.min("window_start").alias("low"), F.max("window_start").alias("high"), F.collect_set("label").alias("seen"),
+        F.max(F.col("window_end").cast("timestamp") - F.col("window_start").cast("timestamp")).alias("width"),
+    ).filter("low IS NOT NULL")
+    grid = span.select(
+        F.explode(F.sequence("low", "high", F.expr(f"INTERVAL {step}"))).alias("window_start"), "width", F.array_distinct(F.concat("seen", named)).alias("labels")
+    ).select("window_start", (F.col("window_start") + F.col("width")).alias("window_end"), F.explode("labels").alias("label"))
+    rows = grid.join(counts.select("window_start", "label", "n"), ["window_start", "label"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+    total = F.sum("n").over(Window.partitionBy("window_start"))
     before = Window.partitionBy("label").orderBy("window_start")
-    return counts.withColumn("share", share).withColumn("change", F.col("share") - F.lag("share").over(before))
+    shared = rows.withColumn("share", F.when(total > 0, F.col("n") / total).otherwise(0.0))
+    return shared.withColumn("change", F.col("share") - F.lag("share").over(before)).select("window_start", "window_end", "label", "n", "share", "change")
 
 
 def shadow_sample(log: DataFrame, share: float, request: str = "request_id", seed: int = 42) -> DataFrame:

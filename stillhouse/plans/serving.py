@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from stillhouse.operators.cost import PRICES, TUNED, FRONTIER, request_cost
@@ -9,11 +11,12 @@ from stillhouse.operators.latency import BENCHMARK_REQUESTS, latency_summary, la
 from stillhouse.operators.monitor import (
     agreement, failure_cases, label_drift, label_windows, retrain_windows, shadow_sample, usage,
 )
+from stillhouse.operators.sessions import user_sessions
 from stillhouse.operators.splitting import head
 from stillhouse.plans.derived import SERVING_LOG, serving_log
 from stillhouse.plans.registry import SCHEMAS, registered
 from stillhouse.sources.workspace import new_folder
-from stillhouse.streaming.drift import append_to, latest, read_log, shadow_pairs, upsert_to, windowed_labels
+from stillhouse.streaming.drift import append_to, distinct_requests, latest, read_log, session_counts, shadow_pairs, upsert_to, windowed_labels
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 SQL_STAMP = "%Y-%m-%d %H:%M:%S"
@@ -67,19 +70,77 @@ def latency_of_first_requests(t):
     return _rounded_latency(latency_summary(head(serving_log(t), "request_id", BENCHMARK_REQUESTS, ["model"]), ["model"]))
 
 
-@registered("label_drift", f"""
-WITH {SERVING_LOG}, c AS (SELECT date_trunc('day', ts) AS d, label, count(*) AS n FROM serving_log GROUP BY ALL),
-s AS (SELECT *, n / sum(n) OVER (PARTITION BY d) AS share FROM c)
-SELECT strftime(d, '{SQL_STAMP}') AS window_start, strftime(d + INTERVAL 1 DAY, '{SQL_STAMP}') AS window_end, label, n,
-  round(share, 9) AS share, round(share - lag(share) OVER (PARTITION BY label ORDER BY d), 9) AS change FROM s""")
-def label_drift_by_day(t):
-    drift = label_drift(label_windows(serving_log(t), "1 day"))
+def _drift_sql(unit: str) -> str:
+    return f"""
+WITH {SERVING_LOG}, c AS (SELECT date_trunc('{unit}', ts) AS d, label, count(*) AS n FROM serving_log GROUP BY ALL),
+grid AS (SELECT d, label FROM (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 {unit})) AS d FROM c), (SELECT DISTINCT label FROM c)),
+w AS (SELECT g.d, g.label, coalesce(n, 0) AS n FROM grid g LEFT JOIN c ON c.d = g.d AND c.label = g.label),
+s AS (SELECT *, coalesce(n / nullif(sum(n) OVER (PARTITION BY d), 0), 0) AS share FROM w)
+SELECT strftime(d, '{SQL_STAMP}') AS window_start, strftime(d + INTERVAL 1 {unit}, '{SQL_STAMP}') AS window_end, label, n,
+  round(share, 9) AS share, round(share - lag(share) OVER (PARTITION BY label ORDER BY d), 9) AS change FROM s"""
+
+
+def _drift(t, width: str):
+    drift = label_drift(label_windows(serving_log(t), width), width)
     return drift.select(
         _stamp("window_start").alias("window_start"), _stamp("window_end").alias("window_end"), "label", "n",
         F.round("share", 9).alias("share"), F.round("change", 9).alias("change"),
     )
 
 
+@registered("label_drift", _drift_sql("day"))
+def label_drift_by_day(t):
+    return _drift(t, "1 day")
+
+
+@registered("label_drift_by_hour", _drift_sql("hour"))
+def label_drift_by_hour(t):
+    """Hours in which a label, or any request, is missing have rows too."""
+    return _drift(t, "1 hour")
+
+
+# --- sessions and repeats -----------------------------------------------------------------------
+
+FINE_STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+SQL_FINE_STAMP = "%Y-%m-%d %H:%M:%S.%f"
+SESSIONS = f"""marked AS (
+  SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM events),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM marked),
+sessions AS (SELECT user_id, min(ts) AS a, max(ts) + INTERVAL 6 HOUR AS b, count(*) AS n FROM numbered GROUP BY user_id, session)
+SELECT user_id, strftime(a, '{SQL_FINE_STAMP}') AS session_start, strftime(b, '{SQL_FINE_STAMP}') AS session_end, n FROM sessions"""
+
+
+def _stamped_sessions(sessions):
+    return sessions.withColumns({c: F.date_format(c, FINE_STAMP) for c in ("session_start", "session_end")})
+
+
+@registered("user_sessions", f"WITH {SESSIONS}")
+def sessions_of_users(t):
+    return _stamped_sessions(user_sessions(t.events.select("user_id", "ts"), timedelta(hours=6), ["user_id"]))
+
+
+@registered("user_sessions_streamed", f"WITH {SESSIONS} WHERE b <= (SELECT max(ts) - INTERVAL 2 DAY FROM events)")
+def sessions_of_users_streamed(t):
+    """Sessions of a stream that are closed when its data end: a watermark of two days has passed them."""
+    spark = t.spark
+    log = read_log(spark, f"{t.folder}/events.parquet*", LOG_SCHEMA).select("user_id", "ts")
+    out, state = new_folder(spark, "sessions"), new_folder(spark, "state")
+    append_to(session_counts(log, "2 days", "6 hours", ["user_id"]), out, state).awaitTermination()
+    schema = "user_id bigint, session_start timestamp, session_end timestamp, n bigint"
+    return _stamped_sessions(spark.read.schema(schema).parquet(out))
+
+
+@registered("distinct_requests_streamed", "SELECT event_id, event_type AS label FROM events")
+def distinct_requests_streamed(t):
+    """A log in which every request was sent twice, as a stream without the repeats."""
+    spark = t.spark
+    sent, again = (read_log(spark, f"{t.folder}/events.parquet*", LOG_SCHEMA).select("event_id", "ts", "event_type") for _ in range(2))
+    out, state = new_folder(spark, "requests"), new_folder(spark, "state")
+    append_to(distinct_requests(sent.unionByName(again), "40 days", "event_id"), out, state).awaitTermination()
+    rows = spark.read.schema("event_id bigint, ts timestamp, event_type string").parquet(out)
+    return rows.select("event_id", F.col("event_type").alias("label"))
+
+
 @registered("label_windows_sliding", f"""
 WITH {SERVING_LOG}, w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - unnest([0, 1, 2, 3]) * INTERVAL 6 HOUR AS s, label FROM serving_log)
 SELECT strftime(s, '{SQL_STAMP}') AS window_start, strftime(s + INTERVAL 1 DAY, '{SQL_STAMP}') AS window_end, label, count(*) AS n FROM w GROUP BY s, label""")

@@ -162,15 +162,32 @@ def test_latency_summary(spark):
 
 def test_ranks_are_exact_without_broadcasts(spark):
     rows = spark.range(2000).select((F.col("id") % 50).alias("g"), (F.col("id") * 37 % 2003).cast("double").alias("v"))
-    want = sorted(map(tuple, ranks.exact_ranks(rows, ["g"], "v", {"top": (1.0, lambda n: n)}).collect()))
+    want = sorted(map(tuple, ranks.exact_ranks(rows, ["g"], "v", {"top": lambda n: n}).collect()))
     usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert sorted(map(tuple, ranks.exact_ranks(rows, ["g"], "v", {"top": (1.0, lambda n: n)}).collect())) == want
+        assert sorted(map(tuple, ranks.exact_ranks(rows, ["g"], "v", {"top": lambda n: n}).collect())) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
 
 
+def test_ranks_of_odd_values(spark):
+    values = [float("nan"), -0.0, 0.0, float("-inf"), float("inf"), -1.5, 5e-324, -5e-324, 1.7976931348623157e308, 1.0, 1.0000000000000002, None]
+    rows = spark.createDataFrame([(None, v) for v in values] + [("x", -0.0)], "g string, v double")
+    places = {f"r{i}": (lambda i: lambda n: F.lit(i).cast("bigint"))(i) for i in range(1, 12)}
+    got = {r.g: r for r in ranks.exact_ranks(rows, ["g"], "v", places).collect()}
+    want = [float("-inf"), -1.5, -5e-324, 0.0, 0.0, 5e-324, 1.0, 1.0000000000000002, 1.7976931348623157e308, float("inf")]
+    assert [got[None][f"r{i}"] for i in range(1, 11)] == want and math.isnan(got[None].r11) and got[None].n == 11
+    assert math.copysign(1, got["x"].r1) == 1.0 and got["x"].r2 is None
+
+
+def test_ranks_of_a_million_distinct_values_in_one_group(spark):
+    rows = spark.range(1_000_003).select(F.lit("g").alias("g"), ((F.col("id") * 7919 % 1_000_003 - 500_000) / 7).alias("latency_ms"))
+    got = latency.latency_summary(rows, ["g"]).first()
+    values = [(i - 500_000) / 7 for i in range(1_000_003)]
+    assert (got.n, got.p50, got.p95) == (1_000_003, values[500_001], values[int(1_000_003 * 0.95)])
+
+
 def test_latency_table(spark):
     summary = spark.createDataFrame([("a", "teacher", 450.0), ("a", "student", 35.0), ("b", "teacher", 450.0)], "task string, model string, p50 double")
     rows = {r.task: r for r in latency.latency_table(summary, "task").collect()}

@@ -7,16 +7,13 @@ import re
 from pyspark.sql import Column, functions as F
 
 from stillhouse.functions.once import let
-from stillhouse.functions.text import collapse_space, dotall, extract, is_blank, rstrip_chars, strip
-
-# The answer patterns whose results must be reproduced.
-SQL_FENCE = r"(?s)```(?:sql)?\s*\n?(.*?)\n?\s*```"
-SQL_STATEMENT = (
-    r"(?is)(?:```sql\s*\n?(.*?)\n?\s*```|(?:SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP)\b.*?;)"
-)
-SQL_STATEMENT_OR_CTE = (
-    r"(?is)(?:```sql\s*\n?(.*?)\n?\s*```|\b(?:SELECT|WITH|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP)\b.*?;)"
-)
+from stillhouse.functions.text import collapse_space, dotall, extract, is_blank, rstrip_chars, strip, unicode
+
+FENCE = "```"
+# What opens an SQL statement in an answer.
+SQL_FENCE = r"(?is)```sql.*"
+SQL_STATEMENT = r"(?is)(?:SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP)\b.*"
+SQL_STATEMENT_OR_CTE = r"(?is)\b(?:SELECT|WITH|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP)\b.*"
 SQL_FROM_KEYWORD = r"(?is)\b(select|with|insert|update|delete)\b.*"
 SQL_LEADING_PROSE = r"(?is)^.*?\b(select|with|insert|update|delete)\b"
 # WITH only opens a statement where a CTE name follows it.
@@ -38,7 +35,7 @@ def single_label(response: Column, labels: list[str], regex: str | None = None)
     )
     if not regex:
         return anywhere
-    named = F.lower(strip(F.regexp_extract(response, regex, 1)))
+    named = F.lower(strip(F.regexp_extract(response, unicode(regex), 1)))
     return let(named, lambda n: F.when(n.isin(known), n).otherwise(anywhere))
 
 
@@ -51,19 +48,41 @@ def whole_word_label(response: Column, labels: list[str], regex: str | None = No
     earliest = extract(F.lower(response), rf"\b({words})\b")
     if not regex:
         return earliest
-    named = F.lower(strip(F.regexp_extract(response, "(?i)" + regex, 1)))
+    named = F.lower(strip(F.regexp_extract(response, "(?i)" + unicode(regex), 1)))
     return F.when(named.isin(known), named).otherwise(earliest)
 
 
+def _after(text: Column, length: int) -> Column:
+    """The text without its first characters."""
+    return F.substr(text, F.lit(length + 1))
+
+
+def _fence_body(opened: Column, mark: int) -> Column:
+    """What stands between an opening of ``mark`` characters and the next fence; null if there is none."""
+    def upto_fence(rest: Column) -> Column:
+        end = F.instr(rest, FENCE)
+        return F.when(end > 0, F.substr(rest, F.lit(1), end - 1))
+
+    return let(_after(opened, mark), upto_fence)
+
+
+def fenced(text: Column) -> Column:
+    """The first fenced block without its ``sql`` tag, stripped; null if there is none. Two looks for a fence, by position."""
+    def body(at: Column) -> Column:
+        inside = F.when(at > 0, _fence_body(F.substr(text, at), len(FENCE)))
+        return let(inside, lambda b: strip(F.when(F.startswith(b, F.lit("sql")), _after(b, len("sql"))).otherwise(b)))
+
+    return let(F.instr(text, FENCE), body)
+
+
 def free_text(response: Column, regex: str | None = None, group_may_be_absent: bool = False) -> Column:
     """Regex group 1 (or the whole match), else the first fenced block, else the stripped text.
 
     Blank text gives null. ``group_may_be_absent`` is for patterns whose group 1 sits in one
     alternative only: an empty group then means the whole match.
     """
-    fenced = F.when(response.rlike(SQL_FENCE), strip(F.regexp_extract(response, SQL_FENCE, 1)))
     plain = F.when(~is_blank(response), strip(response))
-    otherwise = F.coalesce(fenced, plain)
+    otherwise = F.coalesce(fenced(response), plain)
     if not regex:
         return otherwise
     pattern = dotall(regex)
@@ -77,19 +96,25 @@ def free_text(response: Column, regex: str | None = None, group_may_be_absent: b
 
 
 def sql_text(response: Column, strict: bool = False) -> Column:
-    """The first SQL statement of an answer.
+    """The first SQL statement of an answer: in a fence tagged ``sql``, or from a keyword to the next ``;``, whichever starts first.
 
-    The default keyword list has no WITH, so a CTE loses its head; ``strict`` keeps it.
+    The default keyword list has no WITH, so a CTE loses its head; ``strict`` keeps it. Only the first tag and the first
+    keyword are looked at: if nothing closes them, nothing closes a later one. So the time is linear in the answer.
     """
-    pattern = SQL_STATEMENT_OR_CTE if strict else SQL_STATEMENT
-    fenced = F.when(response.rlike(SQL_FENCE), strip(F.regexp_extract(response, SQL_FENCE, 1)))
     plain = F.when(~is_blank(response), strip(response))
 
-    def chosen(whole: Column) -> Column:
-        inside = F.when(F.startswith(whole, F.lit("```")), F.regexp_extract(response, pattern, 1)).otherwise(whole)
-        return F.when(whole != "", strip(inside)).otherwise(F.coalesce(fenced, plain))
+    def chosen(fence: Column, keyword: Column) -> Column:
+        def first(inside: Column) -> Column:
+            ended = F.contains(keyword, F.lit(";"))
+            statement = F.when(ended, strip(F.concat(F.substring_index(keyword, ";", 1), F.lit(";"))))
+            earlier = inside.isNotNull() & (~ended | (F.length(fence) > F.length(keyword)))
+            return F.when(earlier, inside).otherwise(F.coalesce(statement, fenced(response), plain))
+
+        return let(F.when(fence != "", strip(_fence_body(fence, len("```sql")))), first)
 
-    return let(F.regexp_extract(response, pattern, 0), chosen)
+    opened = F.regexp_extract(response, SQL_FENCE, 0)
+    started = F.regexp_extract(response, SQL_STATEMENT_OR_CTE if strict else SQL_STATEMENT, 0)
+    return let(opened, lambda fence: let(started, lambda keyword: chosen(fence, keyword)))
 
 
 def sql_statement(response: Column, strict: bool = False) -> Column:

@@ -58,6 +58,11 @@ def extract(c: Column, pattern: str, group: int = 1) -> Column:
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
 
 
+def unicode(pattern: str) -> str:
+    """A caller's pattern with Python's reading of ``\\w``, ``\\d``, ``\\s`` and ``\\b``: by Unicode, not ASCII."""
+    return "(?U)" + pattern
+
+
 def dotall(pattern: str) -> str:
-    """The pattern with ``re.DOTALL``."""
-    return "(?s)" + pattern
+    """A caller's pattern with ``re.DOTALL``."""
+    return "(?s)" + unicode(pattern)

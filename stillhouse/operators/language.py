@@ -7,12 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stillhouse.functions.once import let, with_once
 
 # Parts of a text that say nothing about its language, each with a cheap test for it: links, mail
-# addresses, handles and tags, file paths. Digits break words anyway.
+# addresses, handles and tags, file paths. Digits break words anyway. Every pattern reads a text once: an address is
+# tried at the start of a token and with its first "@" only, and path segments are not given back.
 NOISE = [
     (r"://|www\.", r"(?:https?://|www\.)\S+"),
-    (r"@", r"\S+@\S+\.\S+"),
+    (r"@", r"(?<!\S)\S[^\s@]*+@\S+\.\S+"),
     (r"[@#]", r"[@#]\w+"),
-    (r"[/\\]", r"(?:[A-Za-z]:)?(?:[/\\][\w.-]+){2,}"),
+    (r"[/\\]", r"(?:[A-Za-z]:)?(?:[/\\][\w.-]++){2,}+"),
 ]
 # Letters per script.
 SCRIPTS = {

@@ -6,16 +6,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stillhouse.functions.once import let
 
-# Patterns use no look-around, so the same text works in other regex engines. Order matters for
-# redaction: longer forms go first. person and address have no fixed form and need a model.
+# Order matters for redaction: longer forms go first. person and address have no fixed form and need a model.
+LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    # A local part starts where no such character stands before it, or where the match before ended (\G), and is never
+    # given back, so a run of letters is read once however long it is.
+    "email": rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "credit_card": r"\b(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}|3\d{3}[ -]\d{6}[ -]\d{5})\b",
-    "ssn": r"\b(?:\d{3}-\d{2}-\d{4}|\d{3} \d{2} \d{4})\b",
+    "ssn": r"\b(?:\d{3}-\d{2}-\d{4}|\d{3} \d{2} \d{4}|\d{9})\b",
     "phone": r"(?:\+\d{1,3}[ -])?(?:\(\d{3}\) ?|\b\d{3}[-. ])\d{3}[-. ]\d{4}\b|\b\d{3}-\d{4}\b",
 }
 # A text without these cannot match, and the test is much cheaper than the pattern.
-NEEDS = {"email": r"@", "credit_card": r"\d{4}[ -]?\d{4}|\d{4}[ -]\d{6}", "ssn": r"\d{3}[- ]\d{2}[- ]", "phone": r"\d{3}[-. ]\d{4}"}
+NEEDS = {"email": r"@", "credit_card": r"\d{4}[ -]?\d{4}|\d{4}[ -]\d{6}", "ssn": r"\d{3}[- ]\d{2}[- ]|\d{9}", "phone": r"\d{3}[-. ]\d{4}"}
 ANY = "|".join(NEEDS.values())
 
 

@@ -90,3 +90,48 @@ def test_sql_statement(spark):
 def test_comparable_sql(spark, a, b, same):
     left, right = run(spark, [a, b], comparable_sql)
     assert (left == right) is same
+
+
+def plain_sql(text):
+    """The patterns as Python searches them."""
+    import re
+
+    match = re.search(r"(?is)(?:```sql\s*\n?(.*?)\n?\s*```|(?:SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP)\b.*?;)", text)
+    if match:
+        return (match[1] if match[1] is not None else match[0]).strip()
+    return plain_free_text(text)
+
+
+def plain_free_text(text):
+    import re
+
+    match = re.search(r"(?s)```(?:sql)?\s*\n?(.*?)\n?\s*```", text)
+    return match[1].strip() if match else text.strip() or None
+
+
+def test_search_by_position_finds_what_the_patterns_find(spark):
+    import random
+
+    random.seed(11)
+    parts = ["```", "```sql", "```SQL", "`", "sql", "sqlite", " ", "\n", "\u00a0", "SELECT", "select", "selected", "update x", ";", "a", "\U0001d4b3", "drop\n", "é"]
+    texts = ["".join(random.choice(parts) for _ in range(random.randrange(14))) for _ in range(3000)]
+    assert run(spark, texts, free_text) == [plain_free_text(t) for t in texts]
+    assert run(spark, texts, sql_text) == [plain_sql(t) for t in texts]
+
+
+def test_long_answers_take_linear_time(spark):
+    import time
+
+    n = 100_000
+    texts = ["```" + " " * n, "```sql" + " \n" * n, "```sql " + "`` " * n, "select " * n, "with a as " * n, "```" + "\n" * n + "x"]
+    run(spark, ["x"], sql_statement), run(spark, ["x"], free_text)
+    for reader in (free_text, sql_text, sql_statement, lambda t: sql_text(t, strict=True)):
+        for text in texts:
+            began = time.time()
+            run(spark, [text], reader)
+            assert time.time() - began < 4
+
+
+def test_callers_patterns_read_unicode(spark):
+    assert run(spark, ["Étiquette: été fini"], lambda t: free_text(t, r"Étiquette:\s*(\w+)")) == ["été"]
+    assert run(spark, ["Label:\u00a0Été."], lambda t: single_label(t, ["été", "x"], r"Label:\s*(\w+)")) == ["été"]

@@ -354,6 +354,29 @@ def test_pii(spark):
     assert redacted.startswith("Mail [EMAIL], call [PHONE], [PHONE], [PHONE] or ext 4242; SSN [SSN], card [CREDIT_CARD] or [CREDIT_CARD].")
 
 
+def test_pii_equals_the_plain_patterns_and_takes_linear_time(spark):
+    import random
+    import re
+    import time
+
+    random.seed(12)
+    parts = ["a", "b.c", "@", ".", "_d", "x@y.z", "-", " ", "123456789", "12", "123-45-6789", "%+", "@q.w.e", "\u00e9"]
+    texts = ["".join(random.choice(parts) for _ in range(random.randrange(12))) for _ in range(2000)]
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = {}
+    for r in pii.detect(rows, "id", "t").filter("type = 'email'").orderBy("id", "position").collect():
+        got.setdefault(r.id, []).append(r.entity)
+    assert got == {i: list(dict.fromkeys(email.findall(t))) for i, t in enumerate(texts) if email.search(t)}
+    assert [r.entity for r in pii.detect(spark.createDataFrame([(1, "SSN 123456789, not 1234567890")], "id int, t string"), "id", "t").collect()] == ["123456789"]
+    long_texts = ["a" * 200_000 + "@", "a." * 100_000 + "@", "a@" * 100_000, "a@" + "b." * 100_000, "@" + "a" * 200_000, "x/" + "y/" * 100_000 + "@"]
+    for text in long_texts:
+        frame = spark.createDataFrame([(1, text)], "id int, t string")
+        began = time.time()
+        frame.select(pii.redact(F.col("t"))).collect(), pii.detect(frame, "id", "t").collect(), with_language(frame, "t").collect()
+        assert time.time() - began < 6
+
+
 def test_keyword_labels(spark):
     rows = spark.createDataFrame([(0, "Invoice shows an error"), (1, "Login and profile settings; API"), (2, "hello"), (3, "errors")], "i int, t string")
     got = [(r.response, r.response_score) for r in with_keyword_label(rows, "t", ROUTING).orderBy("i").collect()]

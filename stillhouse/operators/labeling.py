@@ -6,12 +6,14 @@ from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stillhouse.functions.answers import single_label
 from stillhouse.functions.payload import json_text
 from stillhouse.functions.text import dotall, is_blank, strip
+from stillhouse.sources.folders import children
 from stillhouse.sources.specs import FREE_TEXT, JSON, SINGLE_LABEL, TaskSpec, dispatch
+from stillhouse.sources.workspace import new_folder
 
 # Fixed value: requests in flight per client.
 IN_FLIGHT = 10
@@ -19,6 +21,7 @@ IN_FLIGHT = 10
 Labeler = Callable[[str], str | None]
 
 RESPONSES = "record_id string, task string, input string, response string"
+PROMPTS = "record_id string, task string, input string, prompt string"
 
 
 def label(prompts: DataFrame, make_labeler: Callable[[], Labeler], in_flight: int = IN_FLIGHT) -> DataFrame:
@@ -40,17 +43,17 @@ def label(prompts: DataFrame, make_labeler: Callable[[], Labeler], in_flight: in
     return rows.mapInPandas(answer, RESPONSES)
 
 
-def _unanswered(prompts: DataFrame, path: str) -> DataFrame:
-    spark = prompts.sparkSession
-    try:
-        done = spark.read.schema(RESPONSES).parquet(path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return prompts
-    keys = done.select(F.col("record_id").alias("__id"), F.col("task").alias("__task"))
-    same = (F.col("record_id").cast("string") == F.col("__id")) & (F.col("task") == F.col("__task"))
-    return prompts.join(keys, same, "left_anti")
+def shares_of(spark: SparkSession, path: str) -> int:
+    """How many shares a labelling table is parted into; 0 if there is none yet."""
+    return max((int(c.split("=")[1]) for c in children(spark, path) if c.startswith("shares=")), default=0)
+
+
+def of_wave(spark: SparkSession, path: str, schema: str, wave: int, waves: int) -> DataFrame:
+    """The rows of one wave in a table that is parted by share: only the folders of its shares are opened."""
+    shares = shares_of(spark, path)
+    root, low, high = f"{path}/shares={shares}", wave * shares // waves, (wave + 1) * shares // waves
+    own = [c for c in children(spark, root) if c.startswith("share=") and low <= int(c.split("=")[1]) < high]
+    return spark.read.schema(schema).parquet(*[f"{root}/{c}" for c in own]) if own else spark.createDataFrame([], schema)
 
 
 def label_to_table(prompts: DataFrame, make_labeler: Callable[[], Labeler], path: str, waves: int = 1,
@@ -58,14 +61,23 @@ def label_to_table(prompts: DataFrame, make_labeler: Callable[[], Labeler], path
     """Label what ``path`` does not hold yet, append the raw responses there, and read them back.
 
     The table is written before anything is parsed, so recomputing a later stage never asks the
-    model again. Each wave is one committed job over a hash share of the records: a job that dies
-    loses one wave, and calling this again resumes with the rest.
+    model again. Prompts are written once to a ledger by hash share of their records, answers to ``path`` by the same shares.
+    Each wave is one committed job over its shares of both, so what it reads falls with the number of waves: a job
+    that dies loses one wave, and calling this again resumes with the rest. The first call decides how many shares there
+    are, one per wave; later calls may take fewer waves, of several shares each.
     """
-    for wave in range(waves):
-        share = F.pmod(F.xxhash64(F.col("record_id").cast("string")), F.lit(waves)) == wave
-        todo = _unanswered(prompts.filter(share), path)
-        label(todo, make_labeler, in_flight).write.mode("append").parquet(path)
-    return prompts.sparkSession.read.schema(RESPONSES).parquet(path)
+    spark, ledger = prompts.sparkSession, new_folder(prompts.sparkSession, "prompts")
+    shares = shares_of(spark, path) or waves
+    share = F.pmod(F.xxhash64("record_id"), F.lit(shares)).cast("int")
+    rows = prompts.select(F.col("record_id").cast("string").alias("record_id"), "task", "input", "prompt").withColumn("share", share)
+    rows.hint("rebalance", "share").write.partitionBy("share").parquet(f"{ledger}/shares={shares}")
+    for wave in range(min(waves, shares)):
+        done = of_wave(spark, path, RESPONSES, wave, min(waves, shares)).select(F.col("record_id").alias("__id"), F.col("task").alias("__task"))
+        same = F.col("record_id").eqNullSafe(F.col("__id")) & F.col("task").eqNullSafe(F.col("__task"))
+        todo = of_wave(spark, ledger, PROMPTS, wave, min(waves, shares)).join(done, same, "left_anti")
+        answered = label(todo, make_labeler, in_flight).withColumn("share", share)
+        answered.write.mode("append").partitionBy("share").parquet(f"{path}/shares={shares}")
+    return spark.read.schema(RESPONSES).parquet(path).select("record_id", "task", "input", "response")
 
 
 def parse_response(spec: TaskSpec, response: Column, generic_json: Column) -> Column:

@@ -40,12 +40,13 @@ class Tables:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, name: str) -> DataFrame:
-        """A table for work that costs much per row: one with fewer splits than cores is dealt out over the cores first.
+        """A table for work that costs much per row: one that has no more splits than cores is dealt out over the cores first.
 
-        A split is at most ``spark.sql.files.maxPartitionBytes``, so only tables below that size per core are moved.
+        Spark makes smaller splits rather than fewer of a small table, but a file's row groups stay whole, so few of
+        them have rows. Tables of more than ``spark.sql.files.maxPartitionBytes`` per core are never moved.
         """
         df, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+        return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
 
 
 Query = Callable[[SparkSession, str], DataFrame]

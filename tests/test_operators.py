@@ -231,6 +231,39 @@ def test_key_scores(spark):
     assert scores(spark, "sentiment_aspect", pairs) == want
 
 
+VALUES = [
+    "1", "1.0", "1.50", "1.5", "1e2", "100", "100.0", "-0", "-0.0", "0", "true", "false", "null", '"true"', '"1"', "0.1", "1e-1", "0.30000000000000004", "0.3", "1e15",
+    "1000000000000000", "12345678901234567890", "12345678901234567891", "1e400", '"Infinity"', "[]", "{}", '""', '"a\\"1,2"', '{"a":1,"b":[1,2]}', '{"b":[true,2.0],"a":1.0}',
+    '{"a":1,"b":[2,1]}', '{"a":{"x":null}}', '{"a":{}}', "[1,2]", "[2,1,1]", "[1.0,2]", "[true,2]", '["x",1]', '[1,"x"]', '[{"k":1.0}]', '[{"k":1}]', '{"k":null}', "[[1,2]]", "[[2,1]]",
+]
+
+
+def test_scores_in_the_jvm_equal_python_on_all_pairs_of_values(spark):
+    def plain(found, expected, keys):
+        f, e = json.loads(found), json.loads(expected)
+        if f is None:
+            return 0.0
+        if type(f) is type(e) is list:
+            return float({json.dumps(x, sort_keys=True) for x in f} == {json.dumps(x, sort_keys=True) for x in e})
+        if type(f) is type(e) is dict and keys:
+            return float([f.get(k) for k in keys] == [e.get(k) for k in keys])
+        return float(f == e)
+
+    for task, keys in (("pii_detection", None), ("sentiment_aspect", specs.SENTIMENT_ASPECT.json_compare_keys)):
+        pairs = [(a, b) for a in VALUES for b in VALUES]
+        if keys:
+            pairs = [tuple(v.replace('"a"', f'"{keys[0]}"') for v in p) for p in pairs]
+        assert scores(spark, task, pairs) == [plain(a, b, keys) for a, b in pairs]
+        assert [scoring.json_equal(a, b, keys) for a, b in pairs] == [plain(a, b, keys) for a, b in pairs]
+
+
+def test_well_formed_documents_do_not_visit_python(spark):
+    from stillhouse.functions.payload import strict_json
+
+    rows = spark.createDataFrame([('{"total": 4.50, "line_items": [{"price": 12.5}]}', '{"line_items":[{"price":12.50}],"total":4.5}')], "r string, g string")
+    assert rows.select(scoring.json_score(strict_json(F.col("r")), strict_json(F.col("g")), None)).first()[0] == 1.0
+
+
 def test_accuracy_of_nothing(spark):
     rows = spark.createDataFrame([], "task string, score double")
     expected = spark.createDataFrame([("a",)], "task string")
@@ -325,6 +358,31 @@ def test_labelling_resumes(spark, tmp_path):
     assert labeling.label_yield(parsed).first().labelled == 20
 
 
+def test_a_wave_opens_its_own_shares_only(spark, tmp_path):
+    asked = str(tmp_path / "asked")
+
+    def make_labeler():
+        def ask(prompt):
+            open(asked, "a").write(prompt + "\n")
+            return prompt.upper()
+
+        return ask
+
+    path = str(tmp_path / "responses")
+    rows = [(str(i), "t", f"x{i}", f"p{i}") for i in range(300)] + [(None, "t", "none", "pn")]
+    prompts = spark.createDataFrame(rows, labeling.PROMPTS)
+    first = labeling.label_to_table(prompts.limit(120), make_labeler, path, waves=8)
+    assert first.count() == 120
+    done = labeling.label_to_table(prompts, make_labeler, path, waves=5)
+    assert {(r.record_id, r.response) for r in done.collect()} == {(r[0], r[3].upper()) for r in rows}
+    assert sorted(open(asked).read().split()) == sorted(r[3] for r in rows)
+    whole = set(done.inputFiles())
+    for waves in (2, 8):
+        parts = [set(labeling.of_wave(spark, path, labeling.RESPONSES, w, waves).inputFiles()) for w in range(waves)]
+        assert set().union(*parts) == whole and sum(map(len, parts)) == len(whole) and max(map(len, parts)) < 2 * len(whole) / waves
+    assert labeling.label_to_table(prompts.filter("false"), make_labeler, str(tmp_path / "none"), waves=2).count() == 0
+
+
 def test_language_rules(spark):
     cases = {
         "And he said that it was the end of the day.": "en",

@@ -61,13 +61,29 @@ CHAT_TOOLS = {
 }
 
 
+TURNS_PER_BLOCK = 1000
+
+
 def chat_messages(conversations: DataFrame) -> DataFrame:
     """The turns as tool traffic: an assistant's turn calls a tool with its text, referring to the assistant's
-    call before it; a user's turn after it is the result; other turns are plain messages."""
-    turns = Window.partitionBy("conv_id").orderBy("turn")
+    call before it; a user's turn after it is the result; other turns are plain messages. Turns are ordered in blocks, so a
+    conversation of any length is no single task's work."""
     asked = F.col("role") == "assistant"
-    earlier = F.last(F.when(asked, F.col("turn")), ignorenulls=True).over(turns.rowsBetween(Window.unboundedPreceding, -1))
-    rows = conversations.withColumn("__earlier", earlier).withColumn("__answers", (F.col("role") == "user") & (F.lag("role").over(turns) == "assistant"))
+    block = F.floor(F.col("turn") / TURNS_PER_BLOCK)
+    marked = conversations.withColumns({"__block": block, "__asked": F.when(asked, F.col("turn"))})
+    # What a block's turns see of the turns before it: the last call, and the last turn's role, from a table of blocks.
+    blocks = Window.partitionBy("conv_id").orderBy("__block")
+    before = marked.groupBy("conv_id", "__block").agg(F.max("__asked").alias("call"), F.max_by("role", "turn").alias("role")).select(
+        F.col("conv_id").alias("__conv"), F.col("__block").alias("__of"), F.lag("role").over(blocks).alias("__role_before"),
+        F.max("call").over(blocks.rowsBetween(Window.unboundedPreceding, -1)).alias("__call_before"),
+    )
+    same = F.col("conv_id").eqNullSafe(F.col("__conv")) & F.col("__block").eqNullSafe(F.col("__of"))
+    turns = Window.partitionBy("conv_id", "__block").orderBy("turn")
+    inside = marked.withColumns({"__call": F.max("__asked").over(turns.rowsBetween(Window.unboundedPreceding, -1)), "__role": F.lag("role").over(turns), "__at": F.row_number().over(turns)})
+    rows = inside.join(before, same, "left").withColumns({
+        "__earlier": F.coalesce("__call", "__call_before"),
+        "__answers": (F.col("role") == "user") & (F.when(F.col("__at") == 1, F.col("__role_before")).otherwise(F.col("__role")) == "assistant"),
+    })
 
     def name(turn: Column) -> Column:
         return F.concat_ws("-", F.lit("call"), F.col("conv_id"), turn)

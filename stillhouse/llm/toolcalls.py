@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from stillhouse.llm.common import stored
+from stillhouse.sources.workspace import new_folder
 
 TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict}
 COLUMNS = ["conv", "turn", "role", "content", "call_id", "name", "arguments"]
@@ -86,24 +87,62 @@ def _checked(calls: DataFrame, schemas: dict) -> DataFrame:
     return calls.withColumn("checked", check("name", "arguments")).select("*", "checked.*").drop("checked")
 
 
+def _chains(singles: DataFrame) -> DataFrame:
+    """(mid, to, steps, at, done) for the calls that refer to one other call: where following these references ends.
+
+    Pointer doubling over one written table: each round replaces every pointer to such a call by that call's own pointer, so
+    chains of any length take as many rounds as their length has bits. What is still open then runs in a circle.
+    """
+    inner = singles.select(F.col("mid").alias("to"), F.lit(False).alias("last"))
+    now = stored(
+        singles.join(inner, "to", "left").select("mid", "to", F.lit(1).cast("bigint").alias("steps"), F.col("turn").alias("at"), F.coalesce("last", F.lit(True)).alias("done")),
+        "chains",
+    )
+    reach, rows = 1, now.count()
+    while reach <= rows and not now.filter("NOT done").isEmpty():
+        reach *= 2
+        onward = now.select(F.col("mid").alias("to"), F.col("to").alias("far"), F.col("steps").alias("more"), F.col("at").alias("beyond"), F.col("done").alias("ends"))
+        moved = now.filter("NOT done").join(onward, "to").select(
+            "mid", F.col("far").alias("to"), (F.col("steps") + F.col("more")).alias("steps"), F.greatest("at", "beyond").alias("at"), F.col("ends").alias("done")
+        )
+        now = stored(now.filter("done").unionByName(moved), "chains")
+    return now
+
+
 def _levels(calls: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(mid, at, level) of the calls whose references resolve: one round of joins per level, over the calls still open."""
+    """(mid, at, level) of the calls whose references resolve, level being the depth of their references.
+
+    Calls with one reference are resolved by their chains, whatever these' length. Only calls with several references take
+    a round of joins per depth among themselves; each round appends to one table, which is read as a whole.
+    """
     named = calls.select("mid", "cid", "turn", F.explode_outer(F.from_json("refs", "array<string>")).alias("on"))
     found = firsts.select("cid", F.col("call_id").alias("on"), F.col("mid").alias("dep"))
-    needs = stored(named.filter("on IS NOT NULL").join(found, ["cid", "on"], "left").select("mid", "turn", "dep"), "needs")
-    free = named.filter("on IS NULL").select("mid", F.col("turn").alias("at"), F.lit(0).alias("level"))
-    done = level_rows = stored(free, "levels")
-    level = 0
-    while not needs.isEmpty():
-        level += 1
-        met = needs.join(done.select(F.col("mid").alias("dep"), F.col("at").alias("after"), F.lit(True).alias("known")), "dep", "left")
-        ready = met.groupBy("mid", "turn").agg(F.max("after").alias("after"), F.bool_and(F.coalesce("known", F.lit(False))).alias("all"))
-        level_rows = stored(ready.filter("all").select("mid", F.greatest("turn", "after").alias("at"), F.lit(level).alias("level")), "levels")
-        if level_rows.isEmpty():
+    needs = named.filter("on IS NOT NULL").join(found, ["cid", "on"], "left").select("mid", "turn", "dep").distinct()
+    counted = needs.groupBy("mid").agg(F.count("*").alias("refs"), F.bool_and(F.col("dep").isNotNull()).alias("known"), F.min("dep").alias("only"), F.first("turn").alias("turn"))
+    counted = stored(counted, "references").filter("known")
+    chains = _chains(counted.filter("refs = 1").select("mid", F.col("only").alias("to"), "turn")).filter("done")
+    several = stored(needs.join(counted.filter("refs > 1").select("mid"), "mid", "left_semi"), "references")
+    ends = several.join(chains.select(F.col("mid").alias("dep"), "to", "steps", F.col("at").alias("on_way")), "dep", "left")
+    # A chain that never ends has no row in chains, and its calls no level to wait for.
+    open_ends = stored(ends.select("mid", "turn", F.coalesce("to", "dep").alias("to"), F.coalesce("steps", F.lit(0)).alias("steps"), "on_way"), "references")
+
+    spark, kind = calls.sparkSession, calls.schema["turn"].dataType.simpleString()
+    path, schema = new_folder(spark, "levels"), f"mid bigint, at {kind}, level bigint"
+    named.filter("on IS NULL").select("mid", F.col("turn").alias("at"), F.lit(0).cast("bigint").alias("level")).write.parquet(path)
+    while not open_ends.isEmpty():
+        settled = spark.read.schema(schema).parquet(path).select(F.col("mid").alias("to"), F.col("at").alias("after"), "level")
+        met = open_ends.join(settled, "to", "left").groupBy("mid", "turn").agg(
+            F.max(F.greatest("on_way", "after")).alias("after"), F.max(F.col("steps") + F.col("level") + 1).alias("level"), F.bool_and(F.col("level").isNotNull()).alias("all"),
+        )
+        ready = stored(met.filter("all").select("mid", F.greatest("turn", "after").alias("at"), "level"), "ready")
+        if ready.isEmpty():
             break
-        done = done.unionByName(level_rows)
-        needs = stored(needs.join(level_rows.select("mid"), "mid", "left_anti"), "needs")
-    return done
+        ready.write.mode("append").parquet(path)
+        open_ends = stored(open_ends.join(ready.select("mid"), "mid", "left_anti"), "references")
+    settled = spark.read.schema(schema).parquet(path)
+    of_ends = settled.select(F.col("mid").alias("to"), F.col("at").alias("after"), F.col("level").alias("below"))
+    chained = chains.join(of_ends, "to").select("mid", F.greatest("at", "after").alias("at"), (F.col("steps") + F.col("below")).alias("level"))
+    return settled.unionByName(chained).withColumn("level", F.col("level").cast("int"))
 
 
 @F.pandas_udf(StringType())

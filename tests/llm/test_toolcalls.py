@@ -1,4 +1,5 @@
 import json
+import random
 
 import duckdb
 
@@ -73,6 +74,42 @@ def test_a_long_conversation_and_a_deep_chain(spark):
     assert [r.call_id for r in got] == [f"c{i}" for i in range(3000)] and got[11].level == 11
 
 
+def plain_levels(deps):
+    """{call: (level, at)} by walking in rounds; deps: call -> (turn, referred calls)."""
+    done = {}
+    while True:
+        ready = {c: d for c, d in deps.items() if c not in done and all(x in done for x in d[1])}
+        if not ready:
+            return done
+        done |= {c: (1 + max((done[x][0] for x in on), default=-1), max([turn, *(done[x][1] for x in on)])) for c, (turn, on) in ready.items()}
+
+
+def test_chains_trees_and_circles_of_references(spark):
+    random.seed(4)
+    deps = {}
+    for i in range(5000):
+        deps[f"c{i}"] = (i, [f"c{i - 1}"] if i else [])
+    for i in range(40):
+        deps[f"d{i}"] = (random.randrange(9000), random.sample([f"d{j}" for j in range(max(0, i - 9), i)], min(i, random.randrange(4))) + ([f"c{random.randrange(5000)}"] if i % 7 == 0 else []))
+    deps |= {"o1": (1, ["o2"]), "o2": (2, ["o3"]), "o3": (3, ["o1"]), "p": (4, ["o1"]), "q": (5, ["p", "c3"]), "lost": (6, ["gone"]), "r": (7, ["lost"]), "self": (8, ["self"]), "s": (9, ["c1", "c4000"])}
+    rows = [call(1, turn, c, {"q": "x", **{f"r{k}": {"$ref": x} for k, x in enumerate(on)}}) for c, (turn, on) in deps.items()]
+    got = {r.call_id: (r.level, r.at) if r.status != "cyclic" else None for r in run(spark, rows, {"find": {"properties": {"q": {"type": "string"}} | {f"r{k}": {"type": "string"} for k in range(9)}}})}
+    want = plain_levels(deps)
+    assert got == {c: want.get(c) for c in deps}
+
+
+def test_query_over_a_chat_of_many_blocks(spark, tmp_path):
+    random.seed(5)
+    roles = ["assistant" if random.random() < 0.4 else "user" for _ in range(5000)]
+    rows = [(1, t, role, f"t{t}") for t, role in enumerate(roles)] + [(2, t, "user", "x") for t in range(0, 4000, 999)] + [(3, 0, "assistant", "z")]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(4).write.parquet(f"{tmp_path}/conversations.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    found = db.sql(ORACLES["op6_tool_calls"])
+    got = [[r[c] for c in found.columns] for r in op6_tool_calls(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted((list(r) for r in found.fetchall()), key=str)
+
+
 def test_query_equals_sql(spark, small):
     rows = op6_tool_calls(spark, small).collect()
     db = duckdb.connect()

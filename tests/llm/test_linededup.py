@@ -9,17 +9,16 @@ from stillhouse.llm.queries import op4_line_dedup
 
 
 def plain_removals(docs, least=0.8):
-    """{(doc_id, pos)} removed: all pairs of distinct lines compared. Ids are unique."""
+    """{(doc_id, pos)} removed: all pairs of distinct lines with a word compared, by shingles or, below 8 characters, as wholes. Ids are unique."""
     where = {}
     for i, text in docs:
         for pos, line in enumerate((text or "").split("\n")):
-            words = line.encode().lower().split()
-            whole = b" ".join(words).decode()
-            if len(words) >= 5 and len(whole) >= 8:
+            whole = b" ".join(line.encode().lower().split()).decode()
+            if whole:
                 where.setdefault(whole, []).append((i is None, i, pos))
     lines = sorted(where)
     sets = [{x[i:i + 8] for i in range(len(x) - 7)} for x in lines]
-    order = sorted(range(len(lines)), key=lambda k: len(sets[k]))
+    order = sorted((k for k in range(len(lines)) if sets[k]), key=lambda k: len(sets[k]))
     linked = []
     for at, a in enumerate(order):
         for b in order[at + 1:]:
@@ -94,7 +93,7 @@ def test_awkward_rows(spark, tmp_path):
     got = {}
     for r in op4_line_dedup(spark, table(spark, tmp_path, rows)).collect():
         got.setdefault(r.doc_id, []).append(r)
-    assert [r.removed_lines for r in got[20]] == ["2"] and [r.removed_lines for r in got[21]] == ["0,2"]
+    assert [r.removed_lines for r in got[20]] == ["2,4"] and [r.removed_lines for r in got[21]] == ["0,1,2,4"]
     assert [r.removed_lines for r in got[6]] == ["0", "0"] and got[1][0].text_sha256 is None
     assert op4_line_dedup(spark, table(spark, tmp_path / "none", [])).collect() == []
 

@@ -1,38 +1,7 @@
 from helpers import frame
-from test_linededup import plain_components, removed, rest
+from test_linededup import rest
 
 from stillhouse.llm import linededup
-from stillhouse.llm.queries import op4_line_dedup
-
-
-def plain_removals(docs, least=0.8):
-    """{(doc_id, pos)} removed: all pairs of distinct lines with a word compared, by shingles or, below 8 characters, as wholes."""
-    where = {}
-    for i, text in docs:
-        for pos, line in enumerate((text or "").split("\n")):
-            whole = b" ".join(line.encode().lower().split()).decode()
-            if whole:
-                where.setdefault(whole, []).append((i, pos))
-    lines = sorted(where)
-    sets = [{x[i:i + 8] for i in range(len(x) - 7)} for x in lines]
-    order = sorted((k for k in range(len(lines)) if sets[k]), key=lambda k: len(sets[k]))
-    linked = []
-    for at, a in enumerate(order):
-        for b in order[at + 1:]:
-            if len(sets[a]) < least * len(sets[b]):
-                break
-            both = len(sets[a] & sets[b])
-            if both >= least * (len(sets[a]) + len(sets[b]) - both):
-                linked.append((a, b))
-    groups = {}
-    for k, root in enumerate(plain_components(len(lines), linked)):
-        groups.setdefault(root, []).extend(where[lines[k]])
-    return {p for places in groups.values() for p in places if p != min(places)}
-
-
-def test_query_equals_brute_force_over_all_lines(spark, small, docs):
-    want, got = plain_removals([(d[0], d[1]) for d in docs]), removed(op4_line_dedup(spark, small).collect())
-    assert got <= want and len(want - got) <= 0.01 * len(want) and want
 
 
 def test_lines_of_few_words_or_none_of_our_blanks_are_compared(spark):

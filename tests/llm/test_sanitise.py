@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import time
 
 from helpers import AWKWARD, SCHEMA, frame, plain_base_spans, table
@@ -40,7 +42,7 @@ def test_query_keeps_base_spans(spark, small, docs):
 
 def revealing():
     rows = [(i, f"filler{i} words here ask Zebulon at zeb@corp.example about{i} the matter today", "en", "s", None) for i in range(6)]
-    rows += [(100 + i, f"other text{i} about the matter and words here today", "en", "s", None) for i in range(60)]
+    rows += [(100 + i, f"filler other text{i} ask about the matter and words here at noon today", "en", "s", None) for i in range(60)]
     rows += [(200, "Nobody but zebulon knows it", "en", "s", None), (201, "a single Quixote one@two.example", "en", "s", None)]
     return rows
 
@@ -53,6 +55,53 @@ def test_terms_that_reveal_an_entity_are_found_everywhere(spark):
     assert not got[201].terms and not any(got[i].terms for i in range(100, 160))
 
 
+def plain_disclosing(rows):
+    """{term: disclosure}: pointwise mutual information over the entity's information, for all terms and entities, by document."""
+    holders, holding, beside = {}, {}, {}
+    for row, (_, text, *_) in enumerate(rows):
+        spans = plain_base_spans(text)
+        outside, inside = sanitise.document_terms(text or "", spans)
+        entities = {sanitise.entity(k, text[a:b]) for k, a, b in spans}
+        for term in [*outside, *inside]:
+            holding.setdefault(term, set()).add(row)
+        for name in entities:
+            holders.setdefault(name, set()).add(row)
+            for term in outside:
+                beside.setdefault((name, term), set()).add(text)
+    total, out = len(rows), {}
+    wanted = {term for (_, term), texts in beside.items() if len(texts) >= sanitise.SUPPORT}
+    for (name, term), texts in beside.items():
+        n, both = len(holders[name]), len(holders[name] & holding[term])
+        if term in wanted and texts and n < total:
+            strength = math.log(both * total / (n * len(holding[term]))) / math.log(total / n)
+            out[term] = max(out.get(term, -9.0), strength)
+    return {t: s for t, s in out.items() if s >= sanitise.GENERALISE_AT}
+
+
+def test_disclosing_terms_equal_plain_counts_over_all_documents(spark):
+    random.seed(8)
+    common, rare = [f"word{'abcdefghij'[i]}" for i in range(10)], [f"name{'abcdefgh'[i]}" for i in range(8)]
+    mails = [f"m{i}@corp{i}.example" for i in range(6)]
+    rows = []
+    for i in range(300):
+        said = random.choices(common, k=8)
+        if i % 3 == 0:
+            k = random.randrange(6)
+            said += [mails[k], *random.sample(rare, 1), rare[k] if random.random() < 0.9 else ""]
+        if i % 11 == 0:
+            said.append(random.choice(rare))
+        random.shuffle(said)
+        rows.append((i, " ".join(said), "en", "s", None))
+    rows += [(1000 + i, rows[3 * i][1], "en", "s", None) for i in range(40)]
+    want = plain_disclosing(rows)
+    got = {}
+    for r in sanitise.found(frame(spark, rows), ["doc_id"]).collect():
+        for s in r.terms:
+            got.setdefault(s.value.lower(), set()).add(s.kind)
+    assert set(got) == set(want) and not set(got) & set(common) and len(got) > 2
+    assert all(kinds == {"term_removed" if want[t] >= sanitise.REMOVE_AT else "term_general"} for t, kinds in got.items())
+
+
 def test_copies_do_not_count_as_support(spark):
     rows = [(i, "ask Zebulon at zeb@corp.example", "en", "s", None) for i in range(50)] + [(99, "other words", "en", "s", None)]
     assert not any(r.terms for r in sanitise.found(frame(spark, rows), ["doc_id"]).collect())

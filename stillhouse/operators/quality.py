@@ -61,7 +61,10 @@ def sentiment(doc: Column, labels: Sequence[str]) -> Column:
 
 
 def receipt(doc: Column) -> Column:
-    """struct<vendor, date, total, line_items>; null if a key is missing or has the wrong type."""
+    """struct<vendor, date, total, line_items>; null if a key is missing or has the wrong type.
+
+    The total is a double. A price keeps its type: whole numbers and booleans stay, other numbers are doubles.
+    """
     number_or_null = [*NUMBERS, "BOOLEAN", "VOID"]
     members = F.struct(*[field(doc, k).alias(k) for k in ("vendor", "date", "total", "line_items")])
 
@@ -69,7 +72,7 @@ def receipt(doc: Column) -> Column:
         price = field(x, "price")
         return F.struct(
             strip(as_text(field(x, "name"))).alias("name"),
-            as_number(price).alias("price"),
+            F.when(kind(price).isin("BIGINT", "BOOLEAN"), price).otherwise(as_number(price).cast("variant")).alias("price"),
             F.coalesce(kind(price), F.lit("VOID")).isin(number_or_null).alias("fit"),
         )
 

@@ -174,7 +174,7 @@ WITH {RECEIPT_ANSWERS}
 SELECT record_id, 'Shop ' || record_id AS vendor,
   CASE WHEN record_id % 7 = 5 THEN NULL ELSE '2024-05-01' END AS day,
   CASE WHEN record_id % 7 = 1 THEN NULL ELSE 4.5::DOUBLE END AS total,
-  CASE WHEN record_id % 7 = 5 THEN 'Lamp:12.5|Ink:-' ELSE 'Lamp:12.5' END AS items
+  CASE WHEN record_id % 7 = 5 THEN 'Lamp:12.5|Ink:-|Cap:12|Bag:true' ELSE 'Lamp:12.5' END AS items
 FROM receipt_answers WHERE record_id % 7 IN (0, 1, 5)""")
 def valid_receipts(t):
     found = with_payload(receipt_answers(t), "response")

@@ -185,7 +185,7 @@ def receipt_answers(t: Tables) -> DataFrame:
         _cat('{"vendor": "Shop ', k.cast("string"), '", "total": 1, "line_items": []}'),
         doc(total='"3"'),
         doc(lines="null"),
-        doc(lines=f'[{item}, {{"name": " ", "price": 1}}, {{"name": "Pen", "price": "2"}}, {{"name": "Ink"}}, 5]', date="null"),
+        doc(lines=f'[{item}, {{"name": " ", "price": 1}}, {{"name": "Pen", "price": "2"}}, {{"name": "Ink"}}, {{"name": "Cap", "price": 12}}, {{"name": "Bag", "price": true}}, 5]', date="null"),
         _cat("The receipt: ", doc(), " ok"),
     )
     return t.spread("orders").select(
@@ -207,7 +207,7 @@ receipt_answers AS (
       WHEN 3 THEN head || day || ', "total": "3", "line_items": [' || item || ']}'
       WHEN 4 THEN head || day || ', "total": 4.5, "line_items": null}'
       WHEN 5 THEN head || 'null, "total": 4.5, "line_items": [' || item
-        || ', {"name": " ", "price": 1}, {"name": "Pen", "price": "2"}, {"name": "Ink"}, 5]}'
+        || ', {"name": " ", "price": 1}, {"name": "Pen", "price": "2"}, {"name": "Ink"}, {"name": "Cap", "price": 12}, {"name": "Bag", "price": true}, 5]}'
       ELSE 'The receipt: ' || head || day || ', "total": 4.5, "line_items": [' || item || ']} ok' END AS response
   FROM receipt_parts)"""
 

@@ -76,6 +76,9 @@ def test_receipts(spark):
     assert [r for _, r in got] == [None, None, "receipt_schema", "receipt_schema", "receipt_schema", None]
     assert json.loads(got[0][0]) == {"vendor": "V", "date": None, "total": 2.0, "line_items": [{"name": "A", "price": None}]}
     assert json.loads(got[5][0])["line_items"] == [{"name": "C", "price": 2.5}]
+    typed = doc(line_items=[{"name": n, "price": p} for n, p in (("A", 12), ("B", True), ("C", 12.5), ("D", None), ("E", 0))])
+    kept = json.loads(judged(spark, "receipt_extraction", [typed])[0][0])["line_items"]
+    assert [repr(i["price"]) for i in kept] == ["12", "True", "12.5", "None", "0"]
 
 
 def test_python_text_and_generic_json(spark):

@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from stillhouse.sources.batches import BATCH_BYTES, BATCH_SETTING, SLICE, bounded_batches, sliced  # noqa: F401
 from stillhouse.sources.workspace import new_folder
 
 # Words are runs of anything but ASCII white space, as bytes.split() cuts them.
 WORD = r"[^\x20\x09-\x0D]+"
 ROW_BITS = 33
-SLICE = 1000
-# Spark fills a batch for Python with up to 10,000 rows, whatever their length; this bounds its bytes as well.
-BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = "8m"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,22 +20,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read back: lineage is cut, and values that depend on
     the order of evaluation stay fixed if an executor is lost. Meanwhile batches for Python have ``BATCH_BYTES`` at most."""
     spark = df.sparkSession
-    path, usual = new_folder(spark, name), spark.conf.get(BATCH_SETTING)
-    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
-    try:
+    path = new_folder(spark, name)
+    with bounded_batches(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(BATCH_SETTING, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``, which bounds what a task's Python holds of long texts."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def row_key(df: DataFrame) -> list[Column]:
     """Two 64-bit hashes of a row's whole content. Identical rows share them, so they share decisions."""
     columns = [F.col(f"`{c}`") for c in df.columns]

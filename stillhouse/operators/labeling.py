@@ -5,18 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stillhouse.functions.answers import single_label
 from stillhouse.functions.payload import json_text
 from stillhouse.functions.text import dotall, is_blank, strip
+from stillhouse.sources.batches import bounded_batches, sliced
 from stillhouse.sources.folders import children
 from stillhouse.sources.specs import FREE_TEXT, JSON, SINGLE_LABEL, TaskSpec, dispatch
 from stillhouse.sources.workspace import new_folder
 
 # Fixed value: requests in flight per client.
 IN_FLIGHT = 10
+# Prompts that a task's Python holds as strings at a time.
+IN_PYTHON = 200
 
 Labeler = Callable[[str], str | None]
 
@@ -28,19 +31,22 @@ def label(prompts: DataFrame, make_labeler: Callable[[], Labeler], in_flight: in
     """Responses to (record_id, task, input, prompt), in arrival order of the rows.
 
     ``make_labeler`` runs once per partition, on the executor, and returns the function that
-    answers one prompt. At most ``in_flight`` requests of a partition run at a time. Lazy: see
-    ``label_to_table`` for real models.
+    answers one prompt. At most ``in_flight`` requests of a partition run at a time. Texts stay in Arrow but for the
+    prompts of one slice. Lazy: see ``label_to_table`` for real models; it bounds the batches' bytes, too.
     """
 
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask = make_labeler()
         with ThreadPoolExecutor(max_workers=in_flight) as pool:
-            for batch in batches:
-                responses = list(pool.map(ask, batch["prompt"]))
-                yield batch[["record_id", "task", "input"]].assign(response=responses)
+            for batch in sliced(batches, IN_PYTHON):
+                prompts = batch.column("prompt")
+                responses = pa.array(list(pool.map(ask, prompts.to_pylist())), type=prompts.type)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in ("record_id", "task", "input")], responses], ["record_id", "task", "input", "response"]
+                )
 
     rows = prompts.select(F.col("record_id").cast("string").alias("record_id"), "task", "input", "prompt")
-    return rows.mapInPandas(answer, RESPONSES)
+    return rows.mapInArrow(answer, RESPONSES)
 
 
 def shares_of(spark: SparkSession, path: str) -> int:
@@ -76,7 +82,8 @@ def label_to_table(prompts: DataFrame, make_labeler: Callable[[], Labeler], path
         same = F.col("record_id").eqNullSafe(F.col("__id")) & F.col("task").eqNullSafe(F.col("__task"))
         todo = of_wave(spark, ledger, PROMPTS, wave, min(waves, shares)).join(done, same, "left_anti")
         answered = label(todo, make_labeler, in_flight).withColumn("share", share)
-        answered.write.mode("append").partitionBy("share").parquet(f"{path}/shares={shares}")
+        with bounded_batches(spark):
+            answered.write.mode("append").partitionBy("share").parquet(f"{path}/shares={shares}")
     return spark.read.schema(RESPONSES).parquet(path).select("record_id", "task", "input", "response")
 
 

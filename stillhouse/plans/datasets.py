@@ -196,7 +196,7 @@ def pii_spans_of_answers(t):
         (k % 100 + 100).cast("string"), F.lit(", SSN "), (k % 800 + 100).cast("string"),
         F.when(k % 2 == 0, "-45-6789").otherwise("456789"), F.lit(", card 4111-1111-1111-"), (k % 9000 + 1000).cast("string"),
     )
-    return detect(t.customer.select(k.alias("record_id"), text.alias("text")), "record_id", "text").select("record_id", "type", "entity")
+    return detect(t.spread("customer").select(k.alias("record_id"), text.alias("text")), "record_id", "text").select("record_id", "type", "entity")
 
 
 @registered("redacted_documents", f"SELECT doc_id, md5({_redacted_sql('text', _SQL_NAMES)}) AS redacted FROM documents")

@@ -487,3 +487,15 @@ def test_rows_without_an_id_share_a_side_of_the_split(spark):
     assert len({r.split for r in split if r.record is None}) == 1
     sizes = sum(r.split == "train" for r in split)
     assert 80 <= sizes < 100
+
+
+def test_spans_of_answers_are_looked_for_on_all_cores(spark, tmp_path):
+    from stillhouse.plans import QUERIES
+
+    rows = spark.range(0, 2000, 1, 1).selectExpr(
+        "id AS c_custkey", "concat('Customer ', id) AS c_name", "1 AS c_nationkey", "0.0D AS c_acctbal", "'x' AS c_mktsegment")
+    rows.write.parquet(str(tmp_path / "customer.parquet"))
+    found = QUERIES["pii_spans_of_answers"](spark, str(tmp_path))
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism
+    assert found.select("record_id").distinct().count() == 2000

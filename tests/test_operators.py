@@ -267,6 +267,14 @@ def test_well_formed_documents_do_not_visit_python(spark):
     assert rows.select(scoring.json_score(strict_json(F.col("r")), strict_json(F.col("g")), None)).first()[0] == 1.0
 
 
+def test_prose_is_scored_in_the_jvm(spark):
+    rows = [(0, "sentiment_aspect", 'So: {"sentiment": "x", "aspect": "y", "more": 1} done', '{"aspect": "y", "sentiment": "x"}')]
+    scored = scoring.score(spark.createDataFrame(rows, "record_id long, task string, response string, gold string"), specs.ALL_TASKS)
+    text = scoring.likely_json(F.col("response"))["text"]
+    native = scoring.json_score(scoring.strict_json(text), scoring.strict_json(F.col("gold")), ["sentiment", "aspect"], (text, F.col("gold")))
+    assert scored.select("score", native.alias("native")).first() == (1.0, 1.0)
+
+
 def test_accuracy_of_nothing(spark):
     rows = spark.createDataFrame([], "task string, score double")
     expected = spark.createDataFrame([("a",)], "task string")

@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from stillhouse.functions.payload import find_json, json_text, python_spelling, strict_json, with_payload
+from stillhouse.functions.payload import find_json, json_text, likely_json, python_spelling, strict_json, with_payload
 
 FENCE = "```"
 CASES = {
@@ -79,3 +79,22 @@ def test_search_is_linear_and_survives_deep_nesting():
 ])
 def test_places_to_look(text, expected):
     assert find_json(text) == expected
+
+
+PROSE = [
+    'The receipt: {"a": [1, 2], "b": "x"} ok', 'My answer: {"a": 1} - done', 'Found: [{"a": 1}, 2].', "No JSON here", 'true {"a": 1}', 'truth: {"a": 1}',
+    'nullable [1]', 'NaN [1]', 'Nana [1]', 'x [1] y [2]', 'x {"a": 1} [2', 'x ] {"a": 1} [', '  lead {"a": 1, "a": 2}', 'x [1, NaN]', 'x {"a": NaN} [1]',
+    'x [[[[', 'x {[}]', 'x ```json\n{"a": 1}\n``` [2]', "x null", "x []", 'x {"a": "[1]"}', 'é {"a": 1}', "x\n[1,\n2]\ny", 'x [1] {"a": 2}', 'x {"a": 2} [1]',
+]
+
+
+def test_prose_is_decided_in_the_jvm_as_python_does(spark):
+    rows = spark.createDataFrame(list(enumerate(PROSE)), "i int, t string")
+    for outermost in (False, True):
+        got = with_payload(rows, "t", outermost_first=outermost).select("i", F.to_json("payload.doc").alias("doc"), "payload.path").orderBy("i").collect()
+        want = [find_json(t, outermost) for t in PROSE]
+        assert [r.path for r in got] == [path for _, path in want]
+        plain = [(r.doc, v) for r, (v, _) in zip(got, want) if v is not None and "NaN" not in str(v) and "nan" not in str(v)]
+        assert [json.loads(d) for d, _ in plain] == [v for _, v in plain]
+    decided = rows.filter("i < 3").select(F.to_json(strict_json(likely_json(F.col("t"))["text"])).alias("doc")).collect()
+    assert [r.doc for r in decided] == ["[1,2]", '{"a":1}', '[{"a":1},2]']

@@ -20,10 +20,12 @@ import os
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -31,10 +33,13 @@ from stillhouse.llm.common import sliced, stored
 
 CAPACITY = 2048
 END = b"\0\0\0\0"
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 19
 ID_BYTES = 4
 TOGETHER = 1000
-STRETCH = 1 << 20
+STRETCH = 1 << 22
+SIGNS = ".,;:!?#*$%&"  # none that ends a special token
+DIGITS = tuple("0123456789")
+JOINT = "|"
 LATIN = re.compile("[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
@@ -44,78 +49,102 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _is_word(text: str) -> bool:
+    return text.isalpha() if text.isascii() else LATIN.fullmatch(text) is not None
+
+
 class WordEncoder:
     """Token ids of whole texts as little-endian bytes, for tokenizers that fold case, cut at ASCII white space and between
     letters and other signs, and mark the last token of a run of letters with ``</w>``.
 
     Words are encoded once and remembered, up to a bound. A new word goes to the tokenizer in lower case and without
-    a final full stop or comma, whose ids follow; runs of Latin letters go many at a time in one text, which the
-    marks cut again.
+    final signs, whose ids follow. Words go many at a time in one text: for runs of Latin letters the marks
+    tell where they end, for others a sign between them.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.stops = {stop: self._one(stop) for stop in (b".", b",")}
+        joint = np.frombuffer(self._one(JOINT), "<u4")
+        self.joint_id = int(joint[0]) if len(joint) == 1 else None
 
-    def _one(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+    def _one(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _many(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that are runs of Latin letters."""
+    def _together(self, words: list[str], joint: str, ends_of: Callable[[np.ndarray], np.ndarray], left_out: int) -> dict[str, bytes]:
+        """Ids of words that go many at a time in one text, ``joint`` between them. ``ends_of`` tells where the words end among
+        the ids, whose last ``left_out`` are then the joint's."""
         groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        texts, out = [b" ".join(g).decode() for g in groups], {}
+        texts, out = [joint.join(g) + joint for g in groups], {}
         for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
+            ends = ends_of(ids)
             if len(ends) != len(group) or ends[-1] != len(ids):
                 out.update((w, self._one(w)) for w in group)
                 continue
             whole, bounds = ids.tobytes(), [0, *(ends * ID_BYTES).tolist()]
-            out.update((w, whole[x:y]) for w, x, y in zip(group, bounds, bounds[1:]))
+            out.update(zip(group, [whole[x:y - left_out * ID_BYTES] for x, y in zip(bounds, bounds[1:])]))
         return out
 
-    def learn(self, words: list[bytes]) -> None:
-        new = {w for w in words if w not in self.known}
-        if len(self.known) + 2 * len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = set(words)
-        bodies = {}
-        for word in new:
-            low = word.lower()
-            stop = low[-1:]
-            bodies[word] = (low[:-1], stop) if stop in self.stops and low[-2:-1].isalnum() else (low, b"")
-        open_words = {low for low, _ in bodies.values() if low not in self.known}
-        runs = [w for w in open_words if LATIN.fullmatch(w.decode())]
-        self.known.update(self._many(runs))
-        self.known.update((w, self._one(w)) for w in open_words if w not in self.known)
-        for word, (low, stop) in bodies.items():
-            if word not in self.known:
-                self.known[word] = self.known[low] + self.stops[stop] if stop else self.known[low]
+    def learn(self, words: list[str]) -> None:
+        """Remember the ids of different words in lower case."""
+        known = self.known
+        new = [w for w in words if w not in known]
+        if len(known) + 2 * len(new) > CACHED_WORDS:
+            known.clear()
+            known[""], new = b"", [w for w in words if w]
+        bodies = [w.rstrip(SIGNS) for w in new]
+        bodies = [b if b == w or _is_word(b[-1:]) or b[-1:] in DIGITS else w for w, b in zip(new, bodies)]
+        tails = [w[len(b):] for w, b in zip(new, bodies)]
+        open_words = list({*bodies, *tails}.difference(known))
+        plain = [_is_word(w) for w in open_words]
+        runs, others = [w for w, p in zip(open_words, plain) if p], [w for w, p in zip(open_words, plain) if not p]
+        known.update(self._together(runs, " ", lambda ids: np.flatnonzero(self.last[ids]) + 1, 0))
+        if self.joint_id is None:
+            known.update((w, self._one(w)) for w in others)
+        else:
+            # The joint has one id of its own; where a word gives it too, there are too many ends.
+            known.update(self._together(others, f" {JOINT} ", lambda ids: np.flatnonzero(ids == self.joint_id) + 1, 1))
+        known.update({w: known[b] + known[t] for w, b, t in zip(new, bodies, tails) if t})
 
     def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
-        """Ids and the final id of each text; new words are learned over stretches of texts, to send many at once."""
-        held, size = [], 0
-        for at, text in enumerate(texts):
-            held.append(text.as_py())
-            size += len(held[-1] or "")
-            if size >= STRETCH or at == len(texts) - 1:
-                self.learn([w for t in held if t for w in t.encode().split()])
-                yield from (self.encode(t) + END for t in held)
-                held, size = [], 0
+        """Ids and the final id of each text; a stretch of texts is looked up by its different words."""
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            stop = min(len(texts), int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + STRETCH)) + 1)
+            yield from self._stretch(pc.fill_null(texts.slice(at, stop - at), ""))
+            at = stop
+
+    def _stretch(self, texts: pa.Array) -> Iterator[bytes]:
+        split = pc.ascii_split_whitespace(texts)
+        coded = pc.ascii_lower(split.flatten()).dictionary_encode()
+        words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        self.learn(words)
+        ids = [self.known[w] for w in words]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // ID_BYTES
+        each = lengths[which]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        kind = np.int32 if max(ends[-1], lengths.sum()) < 1 << 31 else np.int64
+        shift = ((np.cumsum(lengths) - lengths)[which] - ends[:-1]).astype(kind)
+        made = np.frombuffer(b"".join(ids), "<u4")[np.repeat(shift, each) + np.arange(ends[-1], dtype=kind)]
+        rows = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])].tolist()
+        for start, stop in zip(rows, rows[1:]):
+            yield made[start:stop].tobytes() + END
 
     def encode(self, text: str | None) -> bytes:
-        words = (text or "").encode().split()
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            self.learn(words)
-            return b"".join([self.known[w] for w in words])
+        return next(self.encode_all(pa.array([text], pa.string())))[:-len(END)]
+
+
+@lru_cache(1)
+def word_encoder(path: str) -> WordEncoder:
+    """One for all tasks of a Python worker, which has one task at a time: words are remembered from task to task."""
+    return WordEncoder(path)
 
 
 def pieces(docs: DataFrame, record: str = "doc_id", text: str = "text", tokenizer: str | None = None,
@@ -131,7 +160,7 @@ def pieces(docs: DataFrame, record: str = "doc_id", text: str = "text", tokenize
               + ", ids binary" * with_ids)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen, part = WordEncoder(path), defaultdict(int), TaskContext.get().partitionId()
+        encoder, seen, part = word_encoder(path), defaultdict(int), TaskContext.get().partitionId()
         step = capacity * ID_BYTES
         for batch in sliced(batches):
             at, out = [], [[] for _ in range(7 + with_ids)]

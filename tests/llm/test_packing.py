@@ -4,6 +4,7 @@ from bisect import bisect_left, insort
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from helpers import AWKWARD, SCHEMA, frame, table
 from tokenizers import Tokenizer
 
@@ -87,3 +88,16 @@ def test_sequences_hold_the_ids(spark):
     whole = {r.sequence_id: bytes(r.ids) for r in packing.sequences(packed).collect()}
     for r in packed.collect():
         assert whole[r.sequence_id][4 * r.offset:4 * (r.offset + r.length)] == bytes(r.ids)
+
+
+def test_words_go_to_the_tokenizer_together_and_without_final_signs(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(packing.default_tokenizer()), packing.WordEncoder(packing.default_tokenizer())
+    alone = []
+    monkeypatch.setattr(encoder, "_one", lambda word: alone.append(word) or np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes())
+    texts = ["Alpha### alpha%%% alpha. 12, x-1 a1*** déjà?! 日本語、 wort&&& 's's. --.. привет,", None, "", " \t\n", "x-1"]
+    for text, ids in zip(texts, encoder.encode_all(pa.array(texts, pa.string()))):
+        assert ids == np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
+    assert not alone and "alpha" in encoder.known
+    assert encoder.encode("a|b | c") == np.array(tokenizer.encode("a|b | c", add_special_tokens=False).ids, "<u4").tobytes() and alone

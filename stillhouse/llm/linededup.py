@@ -18,11 +18,14 @@ empty; all lines of a very long text are compared. Line ids are 64-bit hashes. O
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
@@ -35,10 +38,13 @@ ROWS = 4
 BANDS = 8
 SIMILARITY = 0.8
 BLOCK = 256
-CHARS_AT_ONCE = 1 << 20
+TOGETHER = 32  # lines that one is compared with at a time
+CHARS_AT_ONCE = 1 << 18
 SLOT_BITS = 24
 TURN = np.random.default_rng(20).integers(0, 1 << 32, ROWS * BANDS, np.uint32)
 TIMES = np.random.default_rng(21).integers(0, 1 << 32, ROWS * BANDS, np.uint32) | np.uint32(1)
+# How lines are read as arrays of shingles: encoding, type of a shingle, bytes of a character. A Latin-1 shingle is one number.
+NARROW, WIDE = ("latin-1", f"<u{WIDTH}", 1), ("utf-32-le", f"<U{WIDTH}", 4)
 PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -88,15 +94,65 @@ def band_keys(lines: list[str]) -> np.ndarray:
     return np.concatenate(out) if out else np.empty((0, BANDS), np.int64)
 
 
-def shingles(line: str) -> set[str]:
-    return {line[i:i + WIDTH] for i in range(len(line) - WIDTH + 1)}
-
-
-def alike(a: set[str], b: set[str], least: float = SIMILARITY) -> bool:
-    if min(len(a), len(b)) < least * max(len(a), len(b)):
-        return False
-    both = len(a & b)
-    return both >= least * (len(a) + len(b) - both)
+def form_of(lines: Iterable[str]) -> tuple[str, str, int]:
+    """The form in which the shingles of all these lines can be read."""
+    try:
+        "".join(lines).encode(NARROW[0])
+    except UnicodeEncodeError:
+        return WIDE
+    return NARROW
+
+
+def shingles(line: str, form: tuple[str, str, int] = WIDE) -> np.ndarray:
+    """The different shingles of a line of ``WIDTH`` characters or more, sorted."""
+    encoding, kind, step = form
+    raw = line.encode(encoding)
+    every = np.sort(np.ndarray(len(raw) // step - WIDTH + 1, kind, raw, strides=(step,)))
+    first = np.ones(len(every), bool)
+    first[1:] = every[1:] != every[:-1]
+    return every[first]
+
+
+def alike_to(one: np.ndarray, many: Sequence[np.ndarray], least: float = SIMILARITY) -> np.ndarray:
+    """Which of many lines' shingles are alike to those of one."""
+    n, sizes = len(one), np.fromiter(map(len, many), np.int64, len(many))
+    fit = np.minimum(n, sizes) >= least * np.maximum(n, sizes)
+    if fit.any():
+        compared = np.concatenate([s for s, f in zip(many, fit) if f])
+        sizes = sizes[fit]
+        at = np.searchsorted(one, compared)
+        at[at == n] = 0
+        both = np.add.reduceat(one[at] == compared, np.cumsum(sizes) - sizes, dtype=np.int64)
+        fit[fit] = both >= least * (n + sizes - both)
+    return fit
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    return bool(alike_to(a, [b], least)[0])
+
+
+def links(left: dict[int, str], right: dict[int, str]) -> list[dict[str, int]]:
+    """Links that connect the left lines with all that are alike to them on either side; two lines are compared once."""
+    lines = {**left, **right}
+    form = form_of(lines.values())
+    sets = {m: shingles(line, form) for m, line in lines.items()}
+    root, found = {m: m for m in lines}, []
+
+    def top(m):
+        while root[m] != m:
+            m = root[m]
+        return m
+
+    for a in left:
+        others = [b for b in right if b > a or b not in left]
+        for at in range(0, len(others), TOGETHER):
+            mine = top(a)
+            apart = [b for b in others[at:at + TOGETHER] if top(b) != mine]
+            for b, ok in zip(apart, alike_to(sets[a], [sets[b] for b in apart])):
+                if ok and top(a) != top(b):
+                    root[top(a)] = top(b)
+                    found.append({"a": a, "b": b})
+    return found
 
 
 def _occurrences(docs: DataFrame, record: str, text: str) -> DataFrame:
@@ -172,12 +228,14 @@ def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
 def _rest_of_buckets(members: DataFrame, unlinked: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): verified links between a bucket's unlinked lines and its other lines.
 
-    Both are dealt to blocks of about ``BLOCK`` lines by hash; a row holds one pair of blocks.
+    Both are dealt to blocks of about ``BLOCK`` lines by hash; a row holds one pair of blocks. A line that is alone
+    in its bucket has no other to be compared with.
     """
-    def parts(rows: DataFrame, n: str) -> DataFrame:
-        return rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(n))
+    def parts(rows: DataFrame, n: str, at_least: int = 1) -> DataFrame:
+        counted = rows.groupBy("key").agg(F.count("*").alias("lines")).filter(F.col("lines") >= at_least)
+        return counted.select("key", F.ceil(F.col("lines") / BLOCK).cast("int").alias(n))
 
-    open_keys = parts(unlinked, "n_left").join(parts(members, "n_right"), "key")
+    open_keys = parts(unlinked, "n_left").join(parts(members, "n_right", at_least=2), "key")
     block = F.pmod(F.xxhash64("mark", F.lit(3)), F.col("size")).cast("int")
 
     def blocks(rows: DataFrame, own: str, other: str, out: str) -> DataFrame:
@@ -187,27 +245,16 @@ def _rest_of_buckets(members: DataFrame, unlinked: DataFrame, texts: DataFrame)
 
     pairs = blocks(unlinked, "n_left", "n_right", "left").join(blocks(members, "n_right", "n_left", "right"), ["key", "n_left", "n_right"])
 
-    @F.pandas_udf("array<struct<a bigint, b bigint>>")
-    def linked(lefts: pd.Series, rights: pd.Series) -> pd.Series:
-        def links(left, right):
-            sets = {r["mark"]: shingles(r["line"]) for r in [*left, *right]}
-            root = {m: m for m in sets}
-
-            def top(m):
-                while root[m] != m:
-                    m = root[m]
-                return m
+    @F.arrow_udf("array<struct<a bigint, b bigint>>")
+    def linked(lefts: pa.Array, rights: pa.Array) -> pa.Array:
+        def blocks_of(lists: pa.ListArray) -> Iterator[dict[int, str]]:
+            ends, rows = np.cumsum(lists.value_lengths().to_numpy()).tolist(), lists.flatten()
+            for at, end in zip([0, *ends], ends):
+                block = rows.slice(at, end - at)
+                yield dict(zip(*[pc.struct_field(block, name).to_pylist() for name in ("mark", "line")]))
 
-            found = []
-            for a in {r["mark"] for r in left}:
-                for b in {r["mark"] for r in right}:
-                    x, y = top(a), top(b)
-                    if x != y and alike(sets[a], sets[b]):
-                        root[x] = y
-                        found.append({"a": a, "b": b})
-            return found
-
-        return pd.Series([links(a, b) for a, b in zip(lefts, rights)], dtype=object)
+        found = [links(a, b) for a, b in zip(blocks_of(lefts), blocks_of(rights))]
+        return pa.array(found, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
 
     return pairs.select(F.explode(linked("left", "right")).alias("e")).select("e.a", "e.b")
 
@@ -223,18 +270,16 @@ def groups(docs: DataFrame, occurrences: DataFrame, text: str) -> DataFrame:
     placed = stored(members.join(pivots, "key").filter("mark <> pivot").select("key", "mark", "pivot"), "buckets")
     texts = _texts(docs, text, members.select("mark").distinct())
 
-    @F.pandas_udf("boolean")
-    def verified(lines: pd.Series, others: pd.Series) -> pd.Series:
-        known: dict[str, set[str]] = {}
-
-        def cut(line):
-            if line not in known:
-                if len(known) >= BLOCK:
-                    known.clear()
-                known[line] = shingles(line)
-            return known[line]
-
-        return pd.Series([alike(shingles(a), cut(b)) for a, b in zip(lines, others)], dtype=bool)
+    @F.arrow_udf("boolean")
+    def verified(lines: pa.Array, others: pa.Array) -> pa.Array:
+        out = []
+        for other, run in groupby(zip(others.to_pylist(), lines.to_pylist()), itemgetter(0)):
+            run = [line for _, line in run]
+            for at in range(0, len(run), TOGETHER):
+                some = run[at:at + TOGETHER]
+                form = form_of([other, *some])
+                out.extend(alike_to(shingles(other, form), [shingles(line, form) for line in some]))
+        return pa.array(out, pa.bool_())
 
     pairs = placed.select("mark", "pivot").distinct().join(texts, "mark")
     pairs = pairs.join(texts.select(F.col("mark").alias("pivot"), F.col("line").alias("other")), "pivot")

@@ -104,3 +104,29 @@ def test_columns_stay(spark):
     left = linededup.dedup_lines(docs)
     assert left.columns == docs.columns and {r.mark for r in left.collect()} == {"m"}
     assert all(r.n_chars == len(r.text) for r in left.collect() if r.text is not None)
+
+
+def test_lines_are_compared_once_and_never_alone(spark, monkeypatch):
+    alone = spark.createDataFrame([(1, "the only line beside a pivot"), (2, "first of two lines"), (3, "other line of the two")], "mark bigint, line string")
+    members = spark.createDataFrame([(7, 1), (8, 2), (8, 3)], "key bigint, mark bigint")
+    read, real = [], linededup.shingles
+    monkeypatch.setattr(linededup, "shingles", lambda line, form: read.append(line) or real(line, form))
+    assert linededup.links({2: "first of two lines", 3: "other line of the two"}, {2: "first of two lines", 3: "other line of the two"}) == []
+    assert sorted(read) == ["first of two lines", "other line of the two"]
+    monkeypatch.undo()
+    assert linededup._rest_of_buckets(members, members, alone).collect() == []
+
+
+def test_shingles_by_numbers_equal_those_by_text():
+    random.seed(4)
+    for letters in ("ab", "aé\xff\x00 ", "a網я\x00"):
+        lines = ["".join(random.choices(letters, k=random.randint(8, 40))) for _ in range(60)]
+        form = linededup.form_of(lines)
+        assert form == (linededup.WIDE if "я" in letters else linededup.NARROW)
+        cut = [linededup.shingles(x, form) for x in lines]
+        sets = [{x[i:i + 8] for i in range(len(x) - 7)} for x in lines]
+        assert [len(c) for c in cut] == [len(s) for s in sets]
+        for c, s in zip(cut, sets):
+            both = [len(s & t) for t in sets]
+            for least in (0.2, 0.8):
+                assert linededup.alike_to(c, cut, least).tolist() == [n >= least * (len(s) + len(t) - n) for n, t in zip(both, sets)]

@@ -21,7 +21,6 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -141,12 +140,6 @@ class WordEncoder:
         return next(self.encode_all(pa.array([text], pa.string())))[:-len(END)]
 
 
-@lru_cache(1)
-def word_encoder(path: str) -> WordEncoder:
-    """One for all tasks of a Python worker, which has one task at a time: words are remembered from task to task."""
-    return WordEncoder(path)
-
-
 def pieces(docs: DataFrame, record: str = "doc_id", text: str = "text", tokenizer: str | None = None,
            capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """(record, piece, start, length, ids_crc32, part, nth[, ids]): the pieces of every document.
@@ -160,7 +153,8 @@ def pieces(docs: DataFrame, record: str = "doc_id", text: str = "text", tokenize
               + ", ids binary" * with_ids)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen, part = word_encoder(path), defaultdict(int), TaskContext.get().partitionId()
+        # Gone with its words when the task ends: a Python worker that kept them would hold them beside other stages' rows.
+        encoder, seen, part = WordEncoder(path), defaultdict(int), TaskContext.get().partitionId()
         step = capacity * ID_BYTES
         for batch in sliced(batches):
             at, out = [], [[] for _ in range(7 + with_ids)]

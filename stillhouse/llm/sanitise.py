@@ -10,7 +10,8 @@ A term is a word of any length, anywhere in the text: all counts are of whole do
 that share at least ``support`` distinct texts with one entity, outside spans of fixed form; entities in fewer texts
 make no candidates. Pairs are summed up within tasks, over the words of texts that hold entities. The frequencies of candidates
 are counted over all documents in a second pass, and a third one finds the disclosing terms. For these, tasks get a bit
-map of fixed size (``SLOTS`` bits) that admits all that is wanted; exact joins follow.
+map of fixed size (``SLOTS`` bits, two for a term) that admits all that is wanted; exact joins follow. A term that occurs in more
+documents than any that could disclose even the most frequent entity (``_most_documents``) is no candidate, and makes no pairs.
 
 Defined results: null text is empty; copies of a text count as documents but as one text for the
 support; a row that repeats another one gets equal spans; ties cannot arise, as thresholds are inclusive; an
@@ -20,13 +21,14 @@ searched in linear time. Other columns are not read by ``found`` and kept by ``s
 
 from __future__ import annotations
 
+import math
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
@@ -43,7 +45,8 @@ TERM = re.compile(r"[^\W\d_]+")
 SUPPORT = 3
 REMOVE_AT = 0.9
 GENERALISE_AT = 0.7
-SLOTS = 1 << 20
+SLOTS = 1 << 24
+SEED = 42  # of Spark's xxhash64
 REMEMBERED = 1 << 18
 PAIRS_REMEMBERED = 1 << 17
 SPAN = "struct<kind string, start int, stop int, value string>"
@@ -107,8 +110,9 @@ def document_terms(text: str, spans: list[tuple[str, int, int]]) -> tuple[list[s
     return sorted(outside), sorted(every - outside)
 
 
-def slot(term: str) -> int:
-    return zlib.crc32(term.encode()) % SLOTS
+def slots(term: str) -> tuple[int, int]:
+    mark = xxhash.xxh64_intdigest(term, SEED)
+    return mark % SLOTS, (mark >> 32) % SLOTS
 
 
 def _based(docs: DataFrame, keep: list[Column], text: str) -> DataFrame:
@@ -138,20 +142,35 @@ def _based(docs: DataFrame, keep: list[Column], text: str) -> DataFrame:
 
 
 def _admitted(wanted: DataFrame, name: str = "term") -> np.ndarray:
-    """The bit map, as booleans, that admits all of the values of a column and whatever shares their slots."""
-    slots = wanted.select(F.pmod(F.crc32(F.col(name).cast("binary")), F.lit(SLOTS)).alias("slot")).distinct()
-    admitted = np.zeros(SLOTS, bool)
-    admitted[[int(r[0]) for r in slots.collect()]] = True  # SLOTS values at most
-    return admitted
+    """The bit map that admits all of the values of a column and whatever shares both slots with some."""
+    mark = F.xxhash64(F.col(name))
+    both = [m.bitwiseAND(F.lit(SLOTS - 1)) for m in (mark, F.shiftrightunsigned(mark, 32))]
+    slot = wanted.select(F.explode(F.array(*both)).alias("slot"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot").bitwiseAND(F.lit(63)).cast("int"))
+    words = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    found, bits = words.toArrow(), np.zeros(SLOTS // 64, np.int64)  # as many rows as the map has words at most
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return bits
 
 
-def _counts(docs: DataFrame, text: str, admitted: np.ndarray) -> DataFrame:
-    """(term, n): in how many documents each term with an admitted slot occurs, summed up within tasks."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(admitted))
+def _admits(words: np.ndarray) -> Callable[[str], bool]:
+    bits = np.unpackbits(words.astype("<i8").view(np.uint8), bitorder="little").view(bool)
+
+    def admits(term: str) -> bool:
+        a, b = slots(term)
+        return bool(bits[a] and bits[b])
+
+    return admits
+
+
+def _counts(rows: DataFrame, admitted: np.ndarray, read: Callable[[pa.RecordBatch], Iterable[tuple[int, Iterable[str]]]]) -> DataFrame:
+    """(term, n): in how many documents each admitted term occurs, summed up within tasks. ``read`` gives the
+    rows of a batch: how many documents each stands for and its different terms."""
+    sent = rows.sparkSession.sparkContext.broadcast(admitted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(sent.value).view(bool)
-        counts: dict[str, int] = {}  # 0 for a term whose slot is not admitted
+        admits = _admits(sent.value)
+        counts: dict[str, int] = {}  # 0 for a term that is not admitted
 
         def summed() -> pa.RecordBatch:
             found = [(t, n) for t, n in counts.items() if n]
@@ -159,37 +178,47 @@ def _counts(docs: DataFrame, text: str, admitted: np.ndarray) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], names=["term", "n"])
 
         for batch in sliced(batches):
-            for value in batch.column(0):
-                for term in {word.lower() for word in TERM.findall(value.as_py() or "")}:
+            for times, terms in read(batch):
+                for term in terms:
                     n = counts.get(term)
                     if n is None:
-                        counts[term] = int(bits[slot(term)])
+                        counts[term] = times * admits(term)
                     elif n:
-                        counts[term] = n + 1
+                        counts[term] = n + times
                 if len(counts) >= REMEMBERED:
                     yield summed()
         yield summed()
 
-    return docs.select(F.col(text).alias("__text")).mapInArrow(count, "term string, n bigint")
+    return rows.mapInArrow(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def _of_documents(batch: pa.RecordBatch) -> Iterator[tuple[int, set[str]]]:
+    for value in batch.column(0):
+        yield 1, {word.lower() for word in TERM.findall(value.as_py() or "")}
+
+
+def _of_texts(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
+    for times, outside, inside in zip(*[(v.as_py() for v in column) for column in batch.columns]):
+        yield times, outside + inside
 
 
 def _hits(docs: DataFrame, keep: list[Column], text: str, admitted: np.ndarray) -> DataFrame:
-    """(kept columns, term, start, stop): every occurrence of a term whose slot is admitted."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(admitted))
+    """(kept columns, term, start, stop): every occurrence of an admitted term."""
+    sent = docs.sparkSession.sparkContext.broadcast(admitted)
     rows = docs.select(*keep, F.col(text).alias("__text"))
 
     names = [c for c in rows.columns if c != "__text"]
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(sent.value).view(bool)
+        in_map = _admits(sent.value)
         known: dict[str, bool] = {}
 
         def admits(term: str) -> bool:
             if term not in known:
                 if len(known) >= REMEMBERED:
                     known.clear()
-                known[term] = bool(bits[slot(term)])
+                known[term] = in_map(term)
             return known[term]
 
         for batch in sliced(batches):
@@ -217,14 +246,14 @@ def _texts(based: DataFrame) -> DataFrame:
 def _together(texts: DataFrame, entities: np.ndarray | None = None, terms: np.ndarray | None = None) -> DataFrame:
     """(entity, term, both, texts): documents that hold both, and distinct texts with the term outside of spans,
     for admitted entities and terms, summed up within tasks first."""
-    sent = texts.sparkSession.sparkContext.broadcast([None if bits is None else np.packbits(bits) for bits in (entities, terms)])
+    sent = texts.sparkSession.sparkContext.broadcast([entities, terms])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_entities, of_terms = [None if bits is None else np.unpackbits(bits).view(bool) for bits in sent.value]
+        of_entities, of_terms = [None if bits is None else _admits(bits) for bits in sent.value]
         sums: dict[tuple[str, str], list[int]] = {}
 
-        def admitted(values, bits):
-            return values if bits is None else [v for v in values if bits[slot(v)]]
+        def admitted(values, admits):
+            return values if admits is None else [v for v in values if admits(v)]
 
         def summed() -> pa.RecordBatch:
             pairs, counts = list(sums), list(sums.values())
@@ -249,10 +278,27 @@ def _together(texts: DataFrame, entities: np.ndarray | None = None, terms: np.nd
     return rows.groupBy("entity", "term").agg(F.sum("both").alias("both"), F.sum("texts").alias("texts"))
 
 
+def _documents_of_entities(texts: DataFrame) -> DataFrame:
+    return texts.select(F.explode("entities").alias("entity"), "times").groupBy("entity").agg(F.sum("times").alias("n_entity"))
+
+
+def _most_documents(texts: DataFrame, total: int, at_least: float = GENERALISE_AT) -> float:
+    """How many documents a term can occur in and still disclose some entity.
+
+    No more documents hold both than hold the entity c, so PMI(c; t) / IC(c) >= x needs p(t) <= p(c) ** x, which
+    grows with p(c) for x above 0.
+    """
+    if at_least <= 0:
+        return math.inf
+    most = _documents_of_entities(texts).filter(F.col("n_entity") < total).agg(F.max("n_entity")).first()[0]
+    return total * (most / total) ** at_least * (1 + 1e-9) if most else 0.0
+
+
 def disclosing(texts: DataFrame, counts: DataFrame, total: int, at_least: float = GENERALISE_AT) -> DataFrame:
     """(term, disclosure): the terms that reveal some entity, with the highest PMI / IC over entities."""
+    counts = counts.filter(F.col("n") <= _most_documents(texts, total, at_least))
     together = _together(texts, terms=_admitted(counts))
-    alone = texts.select(F.explode("entities").alias("entity"), "times").groupBy("entity").agg(F.sum("times").alias("n_entity"))
+    alone = _documents_of_entities(texts)
     pmi = F.log(F.col("both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n")))
     strength = pmi / F.log(F.lit(float(total)) / F.col("n_entity"))
     return (
@@ -276,9 +322,12 @@ def found(docs: DataFrame, keep: list[Column], text: str = "text", support: int
     candidates, and where disclosing terms occur; candidates' occurrences are never kept. No text is shuffled."""
     based = _based(docs, [*keep, *row_key(docs)], text)
     texts = _texts(based)
-    named = stored(candidates(texts, support), "terms")
-    counts = _counts(docs, text, _admitted(named)).groupBy("term").agg(F.sum("n").alias("n")).join(named, "term")
-    strong = stored(disclosing(texts, stored(counts, "counts"), docs.count(), generalise_at), "terms")
+    total, named = docs.count(), stored(candidates(texts, support), "terms")
+    # Their documents among those with entities are no more than all of theirs: what does not disclose by these counts does not at all.
+    beside = _counts(texts.select("times", "outside", "inside"), _admitted(named), _of_texts).join(named, "term")
+    rare = stored(disclosing(texts, stored(beside, "counts"), total, generalise_at).select("term"), "terms")
+    counts = _counts(docs.select(F.col(text).alias("__text")), _admitted(rare), _of_documents).join(rare, "term")
+    strong = stored(disclosing(texts, stored(counts, "counts"), total, generalise_at), "terms")
     hits = stored(_hits(docs, row_key(docs), text, _admitted(strong)).join(strong, "term"), "hits")
 
     kind = F.when(F.col("disclosure") >= remove_at, "term_removed").otherwise("term_general")

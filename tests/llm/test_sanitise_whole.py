@@ -23,3 +23,22 @@ def test_counts_are_of_documents_and_support_of_texts(spark):
     name = "email:zeb@corp.example"
     # Copies are documents of one text; in row 50 the word is only inside the address.
     assert pairs[name, "zeb"] == (7, 3) and pairs[name, "and"] == (6, 3) and pairs[name, "corp"] == (7, 0)
+
+
+def test_the_map_admits_what_is_wanted_and_little_else(spark):
+    admits = sanitise._admits(sanitise._admitted(spark.range(50_000).selectExpr("concat('término', id) AS term")))
+    assert all(admits(f"término{i}") for i in range(50_000))
+    assert sum(admits(f"other{i}") for i in range(50_000)) < 50
+    assert not sanitise._admits(sanitise._admitted(spark.createDataFrame([], "term string")))("other1")
+
+
+def test_terms_of_too_many_documents_make_no_pairs(spark, monkeypatch):
+    rows = [(i, f"common words ask Zebulon at zeb@corp.example about{i}", "en", "s", None) for i in range(6)]
+    rows += [(100 + i, f"common words of text{i}", "en", "s", None) for i in range(94)]
+    paired, real = [], sanitise._together
+    monkeypatch.setattr(sanitise, "_together", lambda *a, **b: paired.append(real(*a, **b)) or paired[-1])
+    got = {s.value for r in sanitise.found(frame(spark, rows), ["doc_id"]).collect() for s in r.terms}
+    assert got == {"ask", "zebulon", "at", "about"}
+    assert {r.term for r in paired[-1].collect()} == {"ask", "zebulon", "at", "about"}
+    texts = sanitise._texts(sanitise._based(frame(spark, rows), [], "text"))
+    assert 13 < sanitise._most_documents(texts, 100) < 14 and sanitise._most_documents(texts, 6) == 0

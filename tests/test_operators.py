@@ -260,6 +260,33 @@ def test_scores_in_the_jvm_equal_python_on_all_pairs_of_values(spark):
         assert [scoring.json_equal(a, b, keys) for a, b in pairs] == [plain(a, b, keys) for a, b in pairs]
 
 
+def test_common_pairs_are_scored_without_lambdas(spark):
+    from stillhouse.functions.payload import with_strict_json
+
+    doc = '{"vendor": " Shop 1", "total": %s, "line_items": %s}'
+    gold, known = doc % ("4.50", '[{"price": 12.5}]'), '{"sentiment": "mixed", "aspect": "price", "confidence": 0.8}'
+    common = [
+        ("receipt_extraction", doc % ("4.5", '[{"price":12.5}]'), gold, 1.0), ("receipt_extraction", doc % ('"3"', "[]"), gold, 0.0),
+        ("receipt_extraction", doc % ("null", "null"), gold, 0.0), ("receipt_extraction", "[1]", gold, 0.0),
+        ("sentiment_aspect", known.replace("0.8", "1"), known, 1.0), ("sentiment_aspect", known.replace("mixed", "MIXED"), known, 0.0),
+    ]
+    # Numbers, escapes, text after a document and bad gold texts are left to the other steps.
+    left = [
+        ("receipt_extraction", doc % ("5", "[]"), doc % ("4", "[]"), 0.0), ("receipt_extraction", doc % ("true", "[]"), doc % ("1", "[]"), 1.0),
+        ("receipt_extraction", gold + ",1", gold, 0.0), ("receipt_extraction", gold, gold + "]", None),
+        ("sentiment_aspect", '{"sentiment": 1, "aspect": true}', '{"sentiment": 1.0, "aspect": 1}', 1.0),
+        ("sentiment_aspect", '{"aspect": "x"}', '{"sentiment": null, "aspect": "x"}', 1.0),
+    ]
+    rows = [(i, *r) for i, r in enumerate(common + left)]
+    pairs = spark.createDataFrame(rows, "record_id long, task string, response string, gold string, want double")
+    texts = F.col("response"), F.col("gold")
+    step = with_strict_json(pairs, *texts, ("__found", "__expected"))
+    json_specs = [s for s in specs.ALL_TASKS if s.output_format == "json"]
+    plain = scoring.with_plain_score(step, json_specs, F.col("task"), texts)
+    assert [r["__plain"] for r in plain.orderBy("record_id").collect()] == [r[3] for r in common] + [None] * len(left)
+    assert [r.score for r in scoring.score(pairs, specs.ALL_TASKS).orderBy("record_id").collect()] == [r[3] for r in common + left]
+
+
 def test_well_formed_documents_do_not_visit_python(spark):
     from stillhouse.functions.payload import strict_json
 

@@ -123,18 +123,15 @@ class WordEncoder:
     def _stretch(self, texts: pa.Array) -> Iterator[bytes]:
         split = pc.ascii_split_whitespace(texts)
         coded = pc.ascii_lower(split.flatten()).dictionary_encode()
-        words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist
         self.learn(words)
-        ids = [self.known[w] for w in words]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // ID_BYTES
-        each = lengths[which]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        kind = np.int32 if max(ends[-1], lengths.sum()) < 1 << 31 else np.int64
-        shift = ((np.cumsum(lengths) - lengths)[which] - ends[:-1]).astype(kind)
-        made = np.frombuffer(b"".join(ids), "<u4")[np.repeat(shift, each) + np.arange(ends[-1], dtype=kind)]
+        made = pa.array([self.known[w] for w in words], pa.large_binary()).take(coded.indices)
+        _, bounds, data = made.buffers()
+        ends = np.frombuffer(bounds, np.int64, len(made) + 1) if len(made) else np.zeros(1, np.int64)
         rows = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])].tolist()
+        whole = memoryview(data if data is not None else b"")
         for start, stop in zip(rows, rows[1:]):
-            yield made[start:stop].tobytes() + END
+            yield whole[start:stop].tobytes() + END
 
     def encode(self, text: str | None) -> bytes:
         return next(self.encode_all(pa.array([text], pa.string())))[:-len(END)]

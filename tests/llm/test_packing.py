@@ -53,6 +53,15 @@ def test_query(spark, small, docs):
     check_layout(rows)
 
 
+def test_stretches_keep_the_bounds_of_empty_texts(monkeypatch):
+    tokenizer, texts = Tokenizer.from_file(packing.default_tokenizer()), [None, "", "one two", " \n ", "two", None, "é x, x", ""]
+    want = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() + packing.END for t in texts]
+    for stretch in (1, 5, packing.STRETCH):
+        monkeypatch.setattr(packing, "STRETCH", stretch)
+        for array, expected in ((pa.array(texts, pa.string()), want), (pa.array(texts, pa.string())[2:], want[2:]), (pa.array([None, ""], pa.string()), want[:2])):
+            assert list(packing.WordEncoder(packing.default_tokenizer()).encode_all(array)) == expected
+
+
 def test_words_encode_like_whole_texts(docs):
     tokenizer, encoder = Tokenizer.from_file(packing.default_tokenizer()), packing.WordEncoder(packing.default_tokenizer())
     odd = ["it's  I'm x\x85y", "á ́b éÉ", "1234 ４２ <|endoftext|> x<|startoftext|>", "İSTANBUL ΣΑΣ ς", " 　中文 字", "\x1c \x1d", "👩‍👩‍👧 é"]
